@@ -1,0 +1 @@
+"""Nothing here: every input is a bounded batch, so no streaming operator is in scope."""
