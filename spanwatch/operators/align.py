@@ -72,7 +72,8 @@ def sheet(stamped: DataFrame) -> DataFrame:
     has no rows for a site and period does not count. ``cells`` has one entry per live
     sensor in column order, its value NULL where missing.
     """
-    kept = spread(stamped, site_facts(stamped)).where("families = all_families")
+    # Written as a bit test: an equality would become a join key and spoil the partitioning.
+    kept = spread(stamped, site_facts(stamped)).where("(families ^ all_families) = 0")
     values = F.map_from_entries(
         F.transform("entries", lambda e: F.struct(e["sensor_id"], e["value"]))
     )

@@ -93,6 +93,8 @@ def least_squares(cov_tt: np.ndarray, cov_ty: np.ndarray) -> np.ndarray:
 
 
 def _solver(n_probes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    keys = list(S.SENSOR_KEYS)
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             coefs, intercepts = [], []
@@ -106,7 +108,7 @@ def _solver(n_probes: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.Dat
                 slopes = least_squares(cov, cross)
                 coefs.append(slopes)
                 intercepts.append(row.mean_y - means @ slopes)
-            out = batch[S.SENSOR_KEYS].copy()
+            out = batch[keys].copy()
             out["coefs"] = coefs
             out["intercept"] = intercepts
             out["model_source"] = "fallback"

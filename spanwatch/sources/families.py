@@ -29,7 +29,7 @@ def scan_family(spark: SparkSession, globs: Sequence[str]) -> DataFrame:
     return files.select(
         paths.file_site(path).alias("site"),
         paths.file_period(path).alias("period"),
-        F.col("_metadata.file_name").alias("src_file"),
+        path.alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
         *[F.col(f"`{c}`") for c in files.columns],
     )

@@ -25,7 +25,8 @@ def family_globs(folders: dict[str, str], site: str, ym: str) -> dict[str, str]:
     }
 
 
-_FILE_NAME = r"([^/]+?)_(\d{4}-\d{2})[^/]*_(rot|dsp|str|tmp)\.parquet$"
+# A family may be one file, or a folder of part files of that name.
+_FILE_NAME = r"([^/]+?)_(\d{4}-\d{2})[^/]*_(rot|dsp|str|tmp)\.parquet(?:/[^/]+)?$"
 
 
 def file_site(path: Column) -> Column:
