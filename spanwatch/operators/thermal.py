@@ -179,34 +179,21 @@ def choose_models(
     )
 
 
-def predict(features: DataFrame, models: DataFrame) -> DataFrame:
-    """Prediction and residual per timestamp and structural sensor.
-
-    The models of a site travel to its chunks as one map per row, so rows are joined whole
-    and taken apart afterwards. At a site without probes the filled value passes through as
-    residual and there is no prediction.
-    """
+def _score(features: DataFrame, models: DataFrame) -> DataFrame:
+    """Linear predictions per timestamp and structural sensor, probes alongside."""
     facts = probe_names(features).join(
         site_map(models, MODEL_FIELDS, "models"), S.SITE_KEYS, "left"
     )
     with_models = spread(features, facts.drop("probes"))
+    entry = lambda r: F.struct(
+        r["sensor_order"].alias("sensor_order"),
+        r["sensor_id"].alias("sensor_id"),
+        r["value"].alias("value"),
+        r["y"].alias("y"),
+        F.try_element_at("models", r["sensor_id"]).alias("model"),
+    )
     per_sensor = with_models.select(
-        *S.CHUNK_KEYS,
-        "ts",
-        "rn",
-        "temps",
-        F.inline(
-            F.transform(
-                "readings",
-                lambda r: F.struct(
-                    r["sensor_order"].alias("sensor_order"),
-                    r["sensor_id"].alias("sensor_id"),
-                    r["value"].alias("value"),
-                    r["y"].alias("y"),
-                    F.try_element_at("models", r["sensor_id"]).alias("model"),
-                ),
-            )
-        ),
+        *S.CHUNK_KEYS, "ts", "rn", "probes", "temps", F.inline(F.transform("readings", entry))
     )
     products = F.zip_with("temps", F.col("model.coefs"), lambda t, c: t * c)
     linear = F.col("model.intercept") + F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
@@ -216,6 +203,8 @@ def predict(features: DataFrame, models: DataFrame) -> DataFrame:
         *S.CHUNK_KEYS,
         "ts",
         "rn",
+        "probes",
+        "temps",
         "sensor_order",
         "sensor_id",
         "value",
@@ -228,6 +217,16 @@ def predict(features: DataFrame, models: DataFrame) -> DataFrame:
     )
 
 
+def predict(features: DataFrame, models: DataFrame) -> DataFrame:
+    """Prediction and residual per timestamp and structural sensor.
+
+    The models of a site travel to its chunks as one map per row, so rows are joined whole
+    and taken apart afterwards. At a site without probes the filled value passes through as
+    residual and there is no prediction.
+    """
+    return _score(features, models).drop("probes", "temps")
+
+
 def predict_with(
     features: DataFrame,
     models: DataFrame,
@@ -239,27 +238,24 @@ def predict_with(
     ``temps``, or None to keep the linear model. A prediction depends on its own row only,
     so rows are scored in whatever batches they arrive.
     """
-    scored = predict(features, models)
-    temps = features.select(*S.CHUNK_KEYS, "ts", "probes", "temps")
-    joined = scored.join(temps, [*S.CHUNK_KEYS, "ts"])
-    columns = scored.columns
+    linear = _score(features, models)
+    kept = [f for f in linear.schema.fields if f.name not in ("probes", "temps")]
+    columns = [f.name for f in kept]
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            usable = batch["y"].notna() & [
-                len(t) > 0 and not pd.isna(np.asarray(t, dtype=float)).any() for t in batch["temps"]
-            ]
-            for (site, sensor), rows in batch[usable].groupby(["site", "sensor_id"]):
-                for names, same in rows.groupby(rows["probes"].map(tuple)):
-                    matrix = np.stack(same["temps"].to_list())
-                    y_pred = score_fn(site, sensor, matrix, list(names))
-                    if y_pred is not None:
-                        batch.loc[same.index, "y_pred"] = y_pred
-                        batch.loc[same.index, "residual"] = same["y"] - y_pred
-                        batch.loc[same.index, "model_source"] = "prefit"
+            temps = batch["temps"].map(lambda t: np.asarray(t, dtype=float))
+            usable = batch["y"].notna() & temps.map(lambda t: t.size > 0 and not np.isnan(t).any())
+            groups = [batch["site"], batch["sensor_id"], batch["probes"].map(tuple)]
+            for (site, sensor, names), rows in batch[usable].groupby([g[usable] for g in groups]):
+                y_pred = score_fn(site, sensor, np.stack(temps[rows.index].to_list()), list(names))
+                if y_pred is not None:
+                    batch.loc[rows.index, "y_pred"] = y_pred
+                    batch.loc[rows.index, "residual"] = rows["y"] - y_pred
+                    batch.loc[rows.index, "model_source"] = "prefit"
             yield batch[columns]
 
-    return joined.mapInPandas(score, scored.schema)
+    return linear.mapInPandas(score, type(linear.schema)(kept))
 
 
 def sigma(scored: DataFrame) -> DataFrame:
