@@ -12,6 +12,7 @@ from spanwatch.checks import feed as E
 K = "site, period, sensor_id"
 BIG_SHEET = (E.SITE_COUNT, E.BUCKET, E.CHANNELS)
 HOURLY = (1, "1 hour", E.CHANNELS)
+QUARTER_HOUR = (1, "15 minutes", E.CHANNELS)
 TWO_PROBES = (E.SITE_COUNT, E.BUCKET, E.TWO_PROBES)
 
 
@@ -363,6 +364,7 @@ FROM pairs JOIN fits USING ({K}) GROUP BY ALL""",
     + f"SELECT {K}, ts, 'none' AS model_source, {r6('filled')} AS residual FROM filled",
     "c1_thermal_control": with_(control_with()) + CONTROL_OUT,
     "c1_thermal_control_hourly": with_(control_with(HOURLY)) + CONTROL_OUT,
+    "c1_quarter_hour": with_(control_with(QUARTER_HOUR)) + CONTROL_OUT,
     "w3_zscore": with_(cells(*BIG_SHEET), FILLED)
     + f"""SELECT {K}, ts,
   {r6('(filled - avg(filled) OVER w) / stddev_pop(filled) OVER w')} AS z

@@ -360,6 +360,14 @@ def c1_thermal_control_hourly(spark, sf_dir):
     return out.select(*S.SENSOR_KEYS, "ts", "rn", r6("z").alias("z"))
 
 
+@query
+def c1_quarter_hour(spark, sf_dir):
+    """One site in the usual buckets: few common times in small tables, most in large ones."""
+    quarter = lambda *at: _sheet(*at, sites=1, bucket="15 minutes", chunk="6 hours")
+    out = _control(spark, sf_dir, quarter)
+    return out.select(*S.SENSOR_KEYS, "ts", "rn", r6("z").alias("z"))
+
+
 # Scores and alarms
 
 
