@@ -10,14 +10,19 @@ from spanwatch import schema as S
 _BLANKS = " \t\n\r\f\x0b"
 
 
+def stripped(cell: Column) -> Column:
+    """Text without surrounding blanks of any kind."""
+    return F.btrim(cell, F.lit(_BLANKS))
+
+
 def period_year(ym: Column) -> Column:
     """Year of ``YYYY-MM`` or ``YYYY-MM-DD``, surrounding blanks ignored."""
-    return F.split_part(F.btrim(ym, F.lit(_BLANKS)), F.lit("-"), F.lit(1))
+    return F.split_part(stripped(ym), F.lit("-"), F.lit(1))
 
 
 def period_month(ym: Column) -> Column:
     """Month of ``YYYY-MM`` or ``YYYY-MM-DD``; the empty string if there is none."""
-    return F.split_part(F.btrim(ym, F.lit(_BLANKS)), F.lit("-"), F.lit(2))
+    return F.split_part(stripped(ym), F.lit("-"), F.lit(2))
 
 
 def period_start(ym: Column) -> Column:
@@ -51,5 +56,5 @@ def percent_text(x: Column) -> Column:
 def sensor_number(raw: Column, is_text: bool) -> Column:
     """A reading as DOUBLE: blank text and NaN become NULL, other text must be a number."""
     if is_text:
-        raw = F.nullif(F.btrim(raw, F.lit(_BLANKS)), F.lit(""))
+        raw = F.nullif(stripped(raw), F.lit(""))
     return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))

@@ -28,7 +28,7 @@ def stamps(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
     Readings are one per sensor and timestamp; a NULL sensor only says that its family was
     sampled. NULL values are not carried: a sensor without an entry has no value there.
     """
-    entry = F.struct("sensor_order", "sensor_id", "value")
+    entry = F.struct("sensor_order", "sensor_id", _family_bit().alias("family"), "value")
     present = F.col("sensor_id").isNotNull() & F.col("value").isNotNull()
     return (
         with_chunk(readings, chunk)
@@ -42,19 +42,19 @@ def stamps(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
 
 
 def site_facts(stamped: DataFrame) -> DataFrame:
-    """Per site and period: the families that have data and the sensors that are alive."""
+    """Per site and period: the sensors that are alive and the families they belong to."""
     entry = F.explode_outer("entries").alias("e")
     per_sensor = (
-        stamped.select(*S.SITE_KEYS, "families", entry)
+        stamped.select(*S.SITE_KEYS, entry)
         .groupBy(*S.SITE_KEYS, F.col("e.sensor_order"), F.col("e.sensor_id"))
-        .agg(F.bit_or("families").alias("families"))
+        .agg(F.bit_or("e.family").alias("family"))
     )
     sensor = F.when(
         F.col("sensor_id").isNotNull(),
         F.struct("sensor_order", "sensor_id", names.role(F.col("sensor_id")).alias("role")),
     )
     facts = per_sensor.groupBy(*S.SITE_KEYS).agg(
-        F.bit_or("families").alias("all_families"),
+        F.coalesce(F.bit_or("family"), F.lit(0)).alias("live_families"),
         F.array_sort(F.collect_list(sensor)).alias("sensors"),
     )
     ids = F.col("sensors.sensor_id")
@@ -68,12 +68,12 @@ def site_facts(stamped: DataFrame) -> DataFrame:
 def sheet(stamped: DataFrame) -> DataFrame:
     """Timestamps at which every family of the site was sampled, with all live sensors.
 
-    Same timestamps as an inner join of the families on (site, period, ts); a family that
-    has no rows for a site and period does not count. ``cells`` has one entry per live
+    Same timestamps as an inner join of the families on (site, period, ts); a family without
+    a live sensor at a site and period does not count. ``cells`` has one entry per live
     sensor in column order, its value NULL where missing.
     """
-    # Written as a bit test: an equality would become a join key and spoil the partitioning.
-    kept = spread(stamped, site_facts(stamped)).where("(families ^ all_families) = 0")
+    everything = "(families & live_families) = live_families AND size(sensors) > 0"
+    kept = spread(stamped, site_facts(stamped)).where(everything)
     values = F.map_from_entries(
         F.transform("entries", lambda e: F.struct(e["sensor_id"], e["value"]))
     )

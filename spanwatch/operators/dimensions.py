@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import schema as S
-from spanwatch.functions import names
+from spanwatch.functions import names, text
 
 
 def site_dimension(spark: SparkSession) -> DataFrame:
@@ -29,8 +29,8 @@ def latest_labels(rows: DataFrame, order: str = "row_no") -> DataFrame:
     """One label per (site, base id): of several rows the last in the file wins."""
     named = rows.select(
         "site",
-        names.base_id(F.trim("id")).alias("base_id"),
-        F.trim("label").alias("label"),
+        names.base_id(text.stripped(F.col("id"))).alias("base_id"),
+        text.stripped(F.col("label")).alias("label"),
         F.col(order).alias("_order"),
     ).where("base_id IS NOT NULL")
     return named.groupBy("site", "base_id").agg(F.max_by("label", "_order").alias("label"))

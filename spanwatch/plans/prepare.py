@@ -28,8 +28,12 @@ class Prepared:
 
 
 def aligned_sheet(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
-    """Common timestamps of all families, from a written table of the sampled timestamps."""
-    return align.sheet(settle(align.stamps(readings, chunk), "stamps"))
+    """Common timestamps of all families, as a written table.
+
+    The sampled timestamps are a written table too, since they are read for the facts of
+    their site before they can be filtered: the raw scan happens once.
+    """
+    return settle(align.sheet(settle(align.stamps(readings, chunk), "stamps")), "sheet")
 
 
 def filled_features(sheeted: DataFrame) -> DataFrame:
@@ -143,7 +147,7 @@ def prepare(
     score_fn=None,
 ) -> Prepared:
     """Align, measure what is missing, fill, compensate and score all sites and periods."""
-    joined = settle(aligned_sheet(readings, chunk), "joined")
+    joined = aligned_sheet(readings, chunk)
     if joined.isEmpty():
         raise ValueError("no data: no timestamp is common to the families of any site")
     features = filled_features(joined)

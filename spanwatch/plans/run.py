@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +14,12 @@ from spanwatch.plans.prepare import prepare
 from spanwatch.plans.report import Report, report
 from spanwatch.plans.score import score
 from spanwatch.sources.families import read_readings
-from spanwatch.sources.stages import read_stage, reuse_stage, settle, write_stage
+from spanwatch.sources.stages import only, read_stage, reuse_stage, settle, write_stage
 
 
 def run_prepare(
     spark: SparkSession,
-    folders: dict[str, str],
-    sites: Sequence[str],
+    sources: Mapping[str, Mapping[str, str]],
     periods: Sequence[str],
     labels: DataFrame,
     output: str,
@@ -29,7 +28,7 @@ def run_prepare(
     score_fn=None,
 ) -> None:
     """Read the families and write the control, missing_data, gap_stats and raw_series tables."""
-    readings = read_readings(spark, folders, sites, periods)
+    readings = read_readings(spark, sources, periods)
     done = prepare(readings, labels, registry, chunk, score_fn)
     for name in ("control", "missing_data", "gap_stats", "raw_series"):
         write_stage(getattr(done, name), output, name)
@@ -37,8 +36,7 @@ def run_prepare(
 
 def run_all(
     spark: SparkSession,
-    folders: dict[str, str],
-    sites: Sequence[str],
+    sources: Mapping[str, Mapping[str, str]],
     periods: Sequence[str],
     labels: DataFrame,
     output: str,
@@ -49,26 +47,24 @@ def run_all(
     chunk: str = CHUNK,
     score_fn=None,
 ) -> Report:
-    """Prepare, score and report. ``periods`` are name prefixes: months, or single days.
+    """Prepare, score and report all sites of ``sources``, see ``read_readings``.
 
     With ``reuse_control`` the prepared tables must be there for every site and month, and
     are read instead of computed.
     """
     if not reuse_control:
-        run_prepare(
-            spark, folders, sites, periods, labels, output, registry, chunk, score_fn
-        )
-    wanted = [(site, ym.strip()[:7]) for site in sites for ym in periods]
+        run_prepare(spark, sources, periods, labels, output, registry, chunk, score_fn)
+    wanted = [(site, ym.strip()[:7]) for site in sources for ym in periods]
     control = reuse_stage(spark, output, "control", wanted)
     scores = score(control, labels)
     for name in ("score_series", "alarm_series", "alarm_events", "summary"):
         write_stage(getattr(scores, name), output, name)
     summary = reuse_stage(spark, output, "summary", wanted)
-    shown = read_stage(spark, output, "raw_series")
+    shown = only(read_stage(spark, output, "raw_series"), wanted)
     sensors = shown.select(*S.SENSOR_KEYS, "sensor_order", "label").distinct()
     tables = report(
         summary,
-        read_stage(spark, output, "missing_data"),
+        only(read_stage(spark, output, "missing_data"), wanted),
         settle(sensors, "raw_sensors"),
         site_dimension(spark),
         run_date,

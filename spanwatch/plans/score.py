@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import schema as S
-from spanwatch.functions import names
-from spanwatch.operators import alarms, dimensions, scoring
-from spanwatch.sources.stages import settle
+from spanwatch.functions import names, text
+from spanwatch.operators import alarms, dimensions, scoring, steps
+from spanwatch.operators.chunks import CHUNK, with_chunk
+from spanwatch.sources.stages import read_control_csv, settle
 
 
 @dataclass
@@ -23,6 +24,24 @@ class Scored:
     summary: DataFrame  # site, period, sensor_id, label, warnings, alarms
 
 
+def control_from_csv(spark: SparkSession, folder: str, chunk: str = CHUNK) -> DataFrame:
+    """Scores from CSV files, ready for ``score``.
+
+    A ``time`` that is a plain number is a row position or an epoch, see ``repair_time``.
+    """
+    long = read_control_csv(spark, folder)
+    number = F.expr("try_cast(time AS DOUBLE)")
+    numeric = (
+        long.where(number.isNotNull())
+        .withColumn("time", number)
+        .withColumn("period_start", text.period_start(F.col("period")))
+    )
+    columns = [*S.SENSOR_KEYS, "sensor_order", "ts", "z"]
+    stamped = long.where(number.isNull()).withColumn("ts", F.col("time").cast("timestamp_ntz"))
+    both = steps.repair_time(numeric).select(*columns).unionByName(stamped.select(*columns))
+    return with_chunk(both, chunk)
+
+
 def score_series(control: DataFrame, labels: DataFrame) -> DataFrame:
     """Scores with the part outside the warning band; every sensor must have a label."""
     named = dimensions.label_strict(control, labels)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,12 +19,16 @@ _TIME_COLUMNS = ("datetime", "time")
 _FAMILY_STRIDE = 100_000
 
 
-def scan_family(spark: SparkSession, globs: Sequence[str]) -> DataFrame:
+def scan_family(
+    spark: SparkSession, globs: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
     """The files of one family, with site, period and origin of every row.
 
-    Columns that only some files have are kept and are NULL in the others.
+    Columns that only some files have are kept and are NULL in the others. To find them
+    Spark reads every file's footer; with very many files pass the ``schema`` instead.
     """
-    files = spark.read.option("mergeSchema", True).parquet(*globs)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    files = reader.parquet(*globs)
     path = F.col("_metadata.file_path")
     return files.select(
         paths.file_site(path).alias("site"),
@@ -84,26 +88,28 @@ def wide_readings(wide: DataFrame, family: str, width: str = S.BUCKET) -> DataFr
 
 def read_readings(
     spark: SparkSession,
-    folders: dict[str, str],
-    sites: Sequence[str],
+    sources: Mapping[str, Mapping[str, str]],
     periods: Sequence[str],
     width: str = S.BUCKET,
+    schemas: Mapping[str, T.StructType] | None = None,
 ) -> DataFrame:
     """Readings of many sites and periods: one scan per family.
 
-    A family without a folder is left out. A glob that matches no file is an error.
+    ``sources`` gives each site's family folders (``incl_path``, ``spost_path``, ``str_path``,
+    ``tmp_path``); a family without a folder is left out at that site. ``periods`` are
+    prefixes of the date in the file names. A glob that matches no file is an error.
     """
-    parts = []
-    for name, family in S.FAMILY_FOLDERS.items():
-        if name in folders:
-            globs = [
-                paths.family_glob(folders[name], site, ym, family)
-                for site in sites
-                for ym in periods
-            ]
-            parts.append(wide_readings(scan_family(spark, globs), family, width))
-    if not parts:
+    globs: dict[str, list[str]] = {}
+    for site, folders in sources.items():
+        for ym in periods:
+            for family, glob in paths.family_globs(folders, site, ym.strip()).items():
+                globs.setdefault(family, []).append(glob)
+    if not globs:
         raise ValueError("no family folder given")
+    parts = [
+        wide_readings(scan_family(spark, found, (schemas or {}).get(family)), family, width)
+        for family, found in globs.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

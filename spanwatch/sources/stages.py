@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanwatch import schema as S
 
@@ -47,26 +49,41 @@ def write_stage(df: DataFrame, folder: str, name: str) -> None:
 
 
 def read_stage(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    table = spark.read.parquet(f"{folder.rstrip('/')}/{name}")
-    return table.withColumns({c: F.col(c).cast("string") for c in S.SITE_KEYS})
+    path = f"{folder.rstrip('/')}/{name}"
+    found = spark.read.parquet(path).schema
+    # Read the folder names as they are: a site "001" is not the number 1.
+    keys = {c: T.StructField(c, T.StringType()) for c in S.SITE_KEYS}
+    schema = T.StructType([keys.get(f.name, f) for f in found.fields])
+    return spark.read.schema(schema).parquet(path)
+
+
+def only(table: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of the wanted (site, period) pairs; the other folders are not read."""
+    by_period: dict[str, set[str]] = {}
+    for site, period in wanted:
+        by_period.setdefault(period, set()).add(site)
+    match = F.lit(False)
+    for period, sites in by_period.items():
+        match = match | ((F.col("period") == period) & F.col("site").isin(*sorted(sites)))
+    return table.where(match)
 
 
 def reuse_stage(
-    spark: SparkSession, folder: str, name: str, wanted: list[tuple[str, str]]
+    spark: SparkSession, folder: str, name: str, wanted: Sequence[tuple[str, str]]
 ) -> DataFrame:
     """The rows of a stage written earlier for the wanted (site, period) pairs.
 
     Fails if the table or one of the pairs is missing.
     """
     try:
-        table = read_stage(spark, folder, name)
+        table = only(read_stage(spark, folder, name), wanted)
     except AnalysisException as error:
         raise FileNotFoundError(f"no stage {name!r} in {folder}") from error
-    pairs = spark.createDataFrame(wanted, "site string, period string").distinct()
+    pairs = spark.createDataFrame(wanted, "site string, period string")
     absent = pairs.join(table.select(*S.SITE_KEYS).distinct(), S.SITE_KEYS, "left_anti").first()
     if absent:
         raise FileNotFoundError(f"stage {name!r} has nothing for {tuple(absent)}")
-    return table.join(pairs, S.SITE_KEYS, "left_semi")
+    return table
 
 
 def write_control_csv(control: DataFrame, folder: str, sensors: list[str]) -> None:
@@ -83,13 +100,17 @@ def write_control_csv(control: DataFrame, folder: str, sensors: list[str]) -> No
 
 
 def read_control_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores in long form from wide CSV files; ``time`` stays as it is written."""
-    wide = spark.read.csv(folder, header=True)
-    sensors = [c for c in wide.columns if c not in ("time", *S.SITE_KEYS)]
-    long = wide.unpivot([*S.SITE_KEYS, "time"], sensors, "sensor_id", "z")
-    return long.select(
-        *[F.col(c).cast("string").alias(c) for c in S.SITE_KEYS],
-        "time",
-        "sensor_id",
-        F.col("z").cast("double").alias("z"),
-    )
+    """Scores in long form from wide CSV files; ``time`` stays text as it is written."""
+    columns = spark.read.csv(folder, header=True).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    wide = spark.read.schema(text).csv(folder, header=True)
+    sensors = [c for c in columns if c not in ("time", *S.SITE_KEYS)]
+    score = [
+        F.struct(
+            F.lit(i).alias("sensor_order"),
+            F.lit(s).alias("sensor_id"),
+            F.col(f"`{s}`").cast("double").alias("z"),
+        )
+        for i, s in enumerate(sensors)
+    ]
+    return wide.select(*S.SITE_KEYS, "time", F.inline(F.array(*score)))

@@ -105,6 +105,15 @@ def test_a_site_without_a_family_still_aligns(spark):
     }
 
 
+def test_a_family_of_dead_sensors_does_not_count(spark):
+    t = [frames.stamp(i) for i in range(3)]
+    rows = [("rot", 0, "A_x", x, 1.0) for x in t] + [("tmp", 9, "T_t", t[0], None)]
+    sheet = align.sheet(align.stamps(feed(spark, rows)))
+    assert sorted(r["ts"] for r in sheet.collect()) == t
+    nothing = align.sheet(align.stamps(feed(spark, rows[-1:])))
+    assert nothing.count() == 0
+
+
 def test_one_sensor_id_in_two_families_is_an_error(spark):
     t = frames.stamp(0)
     rows = [("rot", 0, "A_x", t, 1.0), ("dsp", 5, "A_x", t, 1.0)]

@@ -81,7 +81,7 @@ def test_object_store_settings_keep_keys_out_of_paths():
 def test_family_files(spark, bridge):
     _, folders, expected = bridge
     some = {k: folders[k] for k in ("incl_path", "spost_path", "tmp_path")}
-    out = families.read_readings(spark, some, ["P001", "P009"], ["2025-12"]).cache()
+    out = families.read_readings(spark, {"P001": folders, "P009": some}, ["2025-12"]).cache()
     assert {(r["site"], r["period"]) for r in out.collect()} == {("P001", "2025-12"), ("P009", "2025-12")}
     got = frames.by_sensor(out.where("site = 'P009' AND sensor_id IS NOT NULL"), "value")
     rot, pot, temp = expected["P009", 1]
@@ -96,13 +96,13 @@ def test_family_files(spark, bridge):
 
 def test_one_day_by_prefix(spark, bridge):
     _, folders, _ = bridge
-    out = families.read_readings(spark, folders, ["P001"], ["2025-12-02"])
+    out = families.read_readings(spark, {"P001": folders}, ["2025-12-02"])
     assert {r[0] for r in out.select(F.dayofmonth("ts")).collect()} == {2}
 
 
 def test_late_columns_and_blank_text(spark, bridge):
     _, folders, _ = bridge
-    out = families.read_readings(spark, {"str_path": folders["str_path"]}, ["P001"], ["2025-12"])
+    out = families.read_readings(spark, {"P001": {"str_path": folders["str_path"]}}, ["2025-12"])
     counts = {
         r["sensor_id"]: r["count"]
         for r in out.where("sensor_id IS NOT NULL").groupBy("sensor_id").count().collect()
@@ -113,23 +113,23 @@ def test_late_columns_and_blank_text(spark, bridge):
 def test_folders_of_part_files(spark, tmp_path):
     df = spark.createDataFrame([(frames.stamp(0), 1.5)], "datetime timestamp_ntz, POT1_s double")
     df.write.parquet(f"{tmp_path}/P003_2025-12-05_dsp.parquet")
-    row = families.read_readings(spark, {"spost_path": str(tmp_path)}, ["P003"], ["2025-12"]).first()
+    row = families.read_readings(spark, {"P003": {"spost_path": str(tmp_path)}}, ["2025-12"]).first()
     assert (row["site"], row["period"], row["sensor_id"], row["value"]) == ("P003", "2025-12", "POT1_s", 1.5)
 
 
 def test_duplicate_timestamps_keep_the_first_row_whole(spark, tmp_path):
     t = [frames.stamp(0), frames.stamp(0)]
     save(tmp_path, "P001_2025-12-01_dsp.parquet", t, A_s=[None, 2.0], B_s=[1.0, 3.0])
-    out = families.read_readings(spark, {"spost_path": str(tmp_path)}, ["P001"], ["2025-12"])
+    out = families.read_readings(spark, {"P001": {"spost_path": str(tmp_path)}}, ["2025-12"])
     assert [(r["sensor_id"], r["value"]) for r in out.collect()] == [("B_s", 1.0)]
 
 
 def test_missing_files_and_folders_are_errors(spark, bridge):
     _, folders, _ = bridge
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        families.read_readings(spark, folders, ["P404"], ["2025-12"])
+        families.read_readings(spark, {"P404": folders}, ["2025-12"])
     with pytest.raises(ValueError):
-        families.read_readings(spark, {}, ["P001"], ["2025-12"])
+        families.read_readings(spark, {"P001": {}}, ["2025-12"])
 
 
 def test_label_files(spark, bridge):
@@ -139,6 +139,10 @@ def test_label_files(spark, bridge):
     assert got["P001", "EST2"] == "EST Nuova"
     assert got["P009", "POT1"] == "POT Giunto"
     assert len(got) == 9
+    wide = "label|id|note\n One |A1_x|first\nTwo|\ta1_y|second\nThree||\n"
+    (folder / "label-id" / "P007_label-id.csv").write_text(wide)
+    third = labels.read_labels(spark, str(folder), ["P007"]).collect()
+    assert [tuple(r) for r in third] == [("P007", "A1", "Two")]
     with pytest.raises(FileNotFoundError):
         labels.read_labels(spark, str(folder), ["P001", "P777"])
     (folder / "label-id" / "P008_label-id.csv").write_text("label\nX\n")
@@ -182,10 +186,22 @@ def test_control_csv(spark, tmp_path):
     stages.write_control_csv(control, f"{tmp_path}/c", ["A_x", "B_s"])
     file = next((tmp_path / "c").rglob("*.csv"))
     assert file.read_text().splitlines()[0] == "time,A_x,B_s"
-    back = stages.read_control_csv(spark, f"{tmp_path}/c")
-    key = lambda c: F.col(c).cast("timestamp_ntz").alias("ts")
-    assert back.select("site", "period", "sensor_id", key("time"), "z").exceptAll(control).count() == 0
+    back = sco.control_from_csv(spark, f"{tmp_path}/c").cache()
+    assert back.select(control.columns).exceptAll(control).count() == 0
     assert back.count() == 6
+    assert {(r["sensor_id"], r["sensor_order"]) for r in back.collect()} == {("A_x", 0), ("B_s", 1)}
+
+
+def test_control_csv_with_row_numbers(spark, tmp_path):
+    folder = tmp_path / "site=007" / "period=2025-12"
+    folder.mkdir(parents=True)
+    (folder / "control.csv").write_text("time,A_x\n0,1.0\n1,\n2,-4.5\n")
+    out = sco.control_from_csv(spark, str(tmp_path)).orderBy("ts").collect()
+    assert [(r["site"], r["ts"], r["z"]) for r in out] == [
+        ("007", frames.stamp(0), 1.0),
+        ("007", frames.stamp(1), None),
+        ("007", frames.stamp(2), -4.5),
+    ]
 
 
 def test_registry_from_one_period_scores_another(spark, tmp_path):
@@ -209,7 +225,7 @@ def test_registry_from_one_period_scores_another(spark, tmp_path):
 def test_prepare_without_common_times_is_an_error(spark, bridge):
     folder, folders, _ = bridge
     site_labels = labels.read_labels(spark, str(folder), ["P001"])
-    readings = families.read_readings(spark, folders, ["P001"], ["2025-12"])
+    readings = families.read_readings(spark, {"P001": folders}, ["2025-12"])
     apart = readings.withColumn(
         "ts", F.when(F.col("family") == "dsp", F.col("ts") + F.expr("interval 1 minute")).otherwise(F.col("ts"))
     )
@@ -220,9 +236,8 @@ def test_prepare_without_common_times_is_an_error(spark, bridge):
 def test_raw_series_titles_and_temperature(spark, bridge):
     folder, folders, _ = bridge
     site_labels = labels.read_labels(spark, str(folder), ["P009"]).where("base_id <> 'POT1'")
-    readings = families.read_readings(
-        spark, {k: v for k, v in folders.items() if k != "str_path"}, ["P009"], ["2025-12"]
-    )
+    some = {k: v for k, v in folders.items() if k != "str_path"}
+    readings = families.read_readings(spark, {"P009": some}, ["2025-12"])
     sheet = prep.aligned_sheet(readings)
     out = prep.raw_series(sheet, site_labels).cache()
     assert {(r["title"], r["unit"]) for r in out.select("title", "unit").distinct().collect()} == {
@@ -239,7 +254,7 @@ def test_whole_run_matches_pandas(spark, bridge, tmp_path):
     folder, folders, expected = bridge
     out = f"{tmp_path}/out"
     site_labels = labels.read_labels(spark, str(folder), ["P001"])
-    args = (spark, folders, ["P001"], ["2025-12"], site_labels, out, date(2026, 1, 7))
+    args = (spark, {"P001": folders}, ["2025-12"], site_labels, out, date(2026, 1, 7))
     tables = run_all(*args)
     control = stages.read_stage(spark, out, "control")
     got = frames.by_sensor(control, "z")
@@ -284,7 +299,12 @@ def test_reuse_needs_the_control_table(spark, bridge, tmp_path):
     site_labels = labels.read_labels(spark, str(folder), ["P001"])
     with pytest.raises(FileNotFoundError):
         run_all(
-            spark, folders, ["P001"], ["2025-12"], site_labels, f"{tmp_path}/none", date(2026, 1, 7),
+            spark,
+            {"P001": folders},
+            ["2025-12"],
+            site_labels,
+            f"{tmp_path}/none",
+            date(2026, 1, 7),
             reuse_control=True,
         )
 
@@ -340,5 +360,5 @@ def test_site_with_unknown_code(spark):
 
 def test_steps_ignore_sensors(spark, bridge):
     _, folders, _ = bridge
-    sheet = prep.aligned_sheet(families.read_readings(spark, folders, ["P001"], ["2025-12-01"]))
+    sheet = prep.aligned_sheet(families.read_readings(spark, {"P001": folders}, ["2025-12-01"]))
     assert steps.timeline(sheet).count() == 90
