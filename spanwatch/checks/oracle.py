@@ -17,7 +17,8 @@ TWO_PROBES = (E.SITE_COUNT, E.BUCKET, E.TWO_PROBES)
 
 
 def r6(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+    """Six decimals, never minus zero, exact halves nudged up."""
+    return f"round({expression} + 1e-9, 6) + 0.0"
 
 
 def feed(sites: int = E.SITE_COUNT, channels=E.CHANNELS) -> str:
@@ -307,7 +308,7 @@ JOIN (SELECT site, period, count(*) AS n, max(value) AS top FROM feed GROUP BY A
 WHERE value IS NOT NULL AND sensor_id NOT IN ('EST01_e', 'POT01_s') GROUP BY ALL""",
     "p2_p5_text_values": with_(feed())
     + f"""SELECT event_id, sensor_id,
-  {r6("CASE WHEN sensor_id <> 'POT01_s' THEN value END")} AS value FROM feed""",
+  {r6("(CASE WHEN sensor_id <> 'POT01_s' THEN value END)")} AS value FROM feed""",
     "p7_time_column": with_(feed())
     + f"""SELECT {K}, ts, {r6('value')} AS value FROM (
   SELECT {K}, date_trunc('second', ts) AS ts, value, row_number() OVER (
@@ -348,7 +349,7 @@ FROM cells WHERE role = 'temp' GROUP BY site, period, ts""",
 FROM fits""",
     "j8_s9_model_lookup": with_(scored_with())
     + f"""SELECT {K}, ts, CASE WHEN m.mean IS NULL THEN 'fallback' ELSE 'prefit' END AS model_source,
-  {r6('CASE WHEN m.mean IS NULL THEN residual ELSE y - (round(m.mean, 3) + 0.5 * t) END')} AS residual
+  {r6('(CASE WHEN m.mean IS NULL THEN residual ELSE y - (round(m.mean, 3) + 0.5 * t) END)')} AS residual
 FROM scored LEFT JOIN (
   SELECT site, sensor_id, avg(value) AS mean FROM feed
   WHERE (site = 'P001' AND sensor_id IN ('ICD01_x', 'POT01_s'))
@@ -401,7 +402,7 @@ FROM feed""",
     "c5_raw_series": with_(cells(*BIG_SHEET), label_rows())
     + f"""SELECT c.site, c.period, c.sensor_id, c.ts,
   l.label || {AXIS} || ' e Termometro' AS title, {UNITS} AS unit,
-  {r6(f"CASE WHEN {SUFFIX} IN ('x', 'y') THEN value * pi() / 180 * 1000 ELSE value END")} AS value,
+  {r6(f"(CASE WHEN {SUFFIX} IN ('x', 'y') THEN value * pi() / 180 * 1000 ELSE value END)")} AS value,
   {r6('t.temp')} AS temp_mean
 FROM cells c
 JOIN labels l ON l.site = c.site AND l.base_id = {BASE} AND l.base_id <> 'EST01'
@@ -418,7 +419,7 @@ FROM control c JOIN labels l ON l.site = c.site AND l.base_id = {BASE}""",
   {SCORE_CATEGORY} AS score_category, {raw_category('sensor_id')} AS raw_category FROM feed""",
     "f3_mrad": with_(feed())
     + f"""SELECT event_id,
-  {r6(f"CASE WHEN {SUFFIX} IN ('x', 'y') THEN value * (3.141592653589793 / 180 * 1000) ELSE value END")}
+  {r6(f"(CASE WHEN {SUFFIX} IN ('x', 'y') THEN value * (3.141592653589793 / 180 * 1000) ELSE value END)")}
   AS shown FROM feed""",
     "f4_units": with_(feed())
     + f"""SELECT sensor_id AS name, {UNITS} AS unit, count(*)::BIGINT AS n

@@ -60,25 +60,32 @@ def repair_time(control: DataFrame, start: str = "period_start", time: str = "ti
     i-th distinct one becomes the month's start plus i quarter hours. Otherwise they are
     nanoseconds since 1970. ``start`` is the DATE the month begins. Adds ``ts``.
     """
-    span = 1000
-    times = control.select(*S.SITE_KEYS, F.col(time).alias("_t")).distinct()
-    times = times.withColumn("_slice", F.floor(F.col("_t") / span))
-    slice_keys = [*S.SITE_KEYS, "_slice"]
-    per_slice = times.groupBy(*slice_keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_t").alias("_slice_min")
+    extent = control.groupBy(*S.SITE_KEYS).agg(
+        F.min(time).alias("_min"), F.max(time).alias("_max"), F.count(F.lit(1)).alias("_rows")
+    )
+    # Numbered in slices of about a thousand rows, as ``timeline`` does in chunks.
+    slices = F.ceil(F.col("_rows") / 1000)
+    share = (F.col("_t") - F.col("_min")) / (F.col("_max") - F.col("_min"))
+    positions = extent.where("_min < 1e12")
+    times = (
+        control.select(*S.SITE_KEYS, F.col(time).alias("_t"))
+        .distinct()
+        .join(positions, S.SITE_KEYS)
+        .withColumn(
+            "_slice",
+            F.when(F.col("_max") == F.col("_min"), F.lit(0)).otherwise(F.floor(share * slices)),
+        )
     )
-    site = W.partitionBy(*S.SITE_KEYS)
-    earlier = site.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    slice_keys = [*S.SITE_KEYS, "_slice"]
+    per_slice = times.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy(*S.SITE_KEYS).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     carried = per_slice.select(
-        *slice_keys,
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset"),
-        F.min("_slice_min").over(site).alias("_min"),
+        *slice_keys, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset")
     )
     inside = W.partitionBy(*slice_keys).orderBy("_t")
     placed = times.join(carried, slice_keys).select(
         *S.SITE_KEYS,
         F.col("_t").alias(time),
-        "_min",
         (F.col("_offset") + F.row_number().over(inside) - 1).cast("int").alias("_pos"),
     )
     quarter_hours = F.make_dt_interval(mins=F.col("_pos") * 15)
@@ -87,7 +94,7 @@ def repair_time(control: DataFrame, start: str = "period_start", time: str = "ti
     by_position = F.col(start).cast("timestamp_ntz") + quarter_hours
     by_epoch = F.lit("1970-01-01").cast("timestamp_ntz") + since_1970
     return (
-        control.join(placed, [*S.SITE_KEYS, time])
-        .withColumn("ts", F.when(F.col("_min") < 1e12, by_position).otherwise(by_epoch))
-        .drop("_min", "_pos")
+        control.join(placed, [*S.SITE_KEYS, time], "left")
+        .withColumn("ts", F.when(F.col("_pos").isNotNull(), by_position).otherwise(by_epoch))
+        .drop("_pos")
     )
