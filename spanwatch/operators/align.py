@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from spanwatch import schema as S
 from spanwatch.functions import names
-from spanwatch.operators.chunks import CHUNK, spread, with_chunk
+from spanwatch.operators.chunks import CHUNK, width_micros, with_chunk
+
+# Most cells of one chunk: enough to amortise a task's overhead, few enough to sort in memory.
+MAX_CELLS = 200_000
 
 
 def _family_bit():
@@ -32,7 +35,7 @@ def stamps(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
     present = F.col("sensor_id").isNotNull() & F.col("value").isNotNull()
     return (
         with_chunk(readings, chunk)
-        .repartition(*S.CHUNK_KEYS)
+        .repartition(*S.CHUNK_KEYS, "ts")
         .groupBy(*S.CHUNK_KEYS, "ts")
         .agg(
             F.bit_or(_family_bit()).alias("families"),
@@ -65,15 +68,37 @@ def site_facts(stamped: DataFrame) -> DataFrame:
     )
 
 
-def sheet(stamped: DataFrame) -> DataFrame:
+def _split_chunks(stamped: DataFrame, chunk: str, max_cells: int) -> DataFrame:
+    """Chunks with the facts of their site, and in how many parts to cut them."""
+    sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    cells = F.col("n") * F.size("sensors")
+    return sizes.join(site_facts(stamped), S.SITE_KEYS).select(
+        *S.CHUNK_KEYS,
+        "live_families",
+        "sensors",
+        F.greatest(F.lit(1), F.ceil(cells / max_cells)).alias("parts"),
+        F.lit(width_micros(chunk) / 1e6).alias("seconds"),
+    )
+
+
+def sheet(stamped: DataFrame, chunk: str = CHUNK, max_cells: int = MAX_CELLS) -> DataFrame:
     """Timestamps at which every family of the site was sampled, with all live sensors.
 
     Same timestamps as an inner join of the families on (site, period, ts); a family without
     a live sensor at a site and period does not count. ``cells`` has one entry per live
-    sensor in column order, its value NULL where missing.
+    sensor in column order, its value NULL where missing. ``chunk`` is the width that
+    ``stamps`` was given; a chunk of more than ``max_cells`` is cut into shorter ones, so
+    that what follows has no large group whatever the sampling rate.
     """
     everything = "(families & live_families) = live_families AND size(sensors) > 0"
-    kept = spread(stamped, site_facts(stamped)).where(everything)
+    chunks = _split_chunks(stamped, chunk, max_cells)
+    kept = stamped.join(chunks, S.CHUNK_KEYS).where(everything)
+    into = (F.col("ts") - F.col("chunk")).cast("interval second").cast("decimal(20,6)")
+    part = F.floor(into.cast("double") / F.col("seconds") * F.col("parts"))
+    shift = F.make_dt_interval(
+        secs=(part * F.col("seconds") / F.col("parts")).cast("decimal(18,6)")
+    )
+    kept = kept.withColumn("chunk", F.col("chunk") + shift)
     values = F.map_from_entries(
         F.transform("entries", lambda e: F.struct(e["sensor_id"], e["value"]))
     )

@@ -33,7 +33,7 @@ def aligned_sheet(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
     The sampled timestamps are a written table too, since they are read for the facts of
     their site before they can be filtered: the raw scan happens once.
     """
-    return settle(align.sheet(settle(align.stamps(readings, chunk), "stamps")), "sheet")
+    return settle(align.sheet(settle(align.stamps(readings, chunk), "stamps"), chunk), "sheet")
 
 
 def filled_features(sheeted: DataFrame) -> DataFrame:

@@ -38,10 +38,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_stage(df: DataFrame, folder: str, name: str) -> None:
-    """Write one table of results; of an existing table only the same sites and periods go."""
-    parted = df.repartition(*S.SITE_KEYS, *(["chunk"] if "chunk" in df.columns else []))
+    """Write one table of results; of an existing table only the same sites and periods go.
+
+    The rows are rebalanced first: few files per site and period, a large one in several.
+    """
     (
-        parted.write.mode("overwrite")
+        df.hint("rebalance", *S.SITE_KEYS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.SITE_KEYS)
         .parquet(f"{folder.rstrip('/')}/{name}")

@@ -105,6 +105,23 @@ def test_a_site_without_a_family_still_aligns(spark):
     }
 
 
+def test_large_chunks_are_cut(spark):
+    rng = np.random.default_rng(4)
+    wide = pd.DataFrame({f"S{i}_s": frames.gappy(rng, 200) for i in range(3)})
+    stamped = align.stamps(frames.readings(spark, wide), "1 day")
+    whole = align.sheet(stamped, "1 day")
+    cut = align.sheet(stamped, "1 day", max_cells=30)
+    sizes = [r["count"] for r in cut.groupBy("chunk").count().collect()]
+    assert max(sizes) <= 10 and sum(sizes) == 200
+    assert whole.select("chunk").distinct().count() == 3
+    late = cut.where("chunk > ts OR ts >= chunk + interval 151 minutes")
+    assert late.count() == 0
+    expected = wide.interpolate("linear", axis=0)
+    out = frames.by_sensor(interpolate.interpolate(cut), "filled")
+    for sensor in wide.columns:
+        np.testing.assert_allclose(frames.as_floats(out[sensor]), expected[sensor], rtol=1e-12)
+
+
 def test_a_family_of_dead_sensors_does_not_count(spark):
     t = [frames.stamp(i) for i in range(3)]
     rows = [("rot", 0, "A_x", x, 1.0) for x in t] + [("tmp", 9, "T_t", t[0], None)]
