@@ -24,11 +24,11 @@ _PIECES = "array<struct<upto: double, slope: double, base: double>>"
 
 
 def chunk_response(
-    warned: np.ndarray, decay_rate: float, reset_above: float
+    warned: np.ndarray, n: int, decay_rate: float, reset_above: float
 ) -> list[tuple[float, float, float]]:
-    """Level leaving a chunk as a function of the level entering it.
+    """Level leaving a chunk of ``n`` samples as a function of the level entering it.
 
-    Pieces (upto, slope, base) in ascending order: an entering level of at most ``upto``, and
+    ``warned`` holds the positions of the samples in warning. Pieces (upto, slope, base) in ascending order: an entering level of at most ``upto``, and
     above the previous piece, leaves as ``slope * level + base``. Once two entering levels
     have been reset by the same sample they stay equal, so there are few pieces.
     """
@@ -57,30 +57,30 @@ def chunk_response(
 
     keep = 1.0 - decay_rate
     done = 0
-    for row in np.flatnonzero(warned):
+    for row in warned:
         if row > done:
             advance(keep ** int(row - done), 0.0)
         advance(keep, 1.0)
         done = row + 1
-    if len(warned) > done:
-        advance(keep ** int(len(warned) - done), 0.0)
+    if n > done:
+        advance(keep ** int(n - done), 0.0)
     return pieces
 
 
 def chunk_levels(
-    warned: np.ndarray, entering: float, decay_rate: float, reset_above: float
+    warned: np.ndarray, n: int, entering: float, decay_rate: float, reset_above: float
 ) -> np.ndarray:
     """The level at every sample of a chunk, given the level entering it."""
-    levels = np.empty(len(warned))
+    levels = np.empty(n)
     keep = 1.0 - decay_rate
     level = entering
     done = 0
-    for row in [*np.flatnonzero(warned), len(warned)]:
+    for row in [*warned, n]:
         if row > done:
             level = 0.0 if level > reset_above else level
             levels[done:row] = level * keep ** np.arange(1, row - done + 1)
             level = levels[row - 1]
-        if row < len(warned):
+        if row < n:
             level = 0.0 if level > reset_above else level * keep + 1.0
             levels[row] = level
         done = row + 1
@@ -88,33 +88,39 @@ def chunk_levels(
 
 
 def _series(control: DataFrame, k: float) -> DataFrame:
-    """One row per chunk and sensor, its samples in time order."""
-    sample = F.struct("ts", F.col("z"), is_warning(F.col("z"), k).alias("warned"))
+    """One row per chunk and sensor: samples in time order, and which are in warning.
+
+    Only the few positions in warning go to Python, not the samples.
+    """
+    sample = F.struct("ts", "z")
     # Partitioned by chunk, not by chunk and sensor, so that the join below needs no shuffle.
     parted = control.select(*S.CHUNK_KEYS, "sensor_order", "sensor_id", "ts", "z").repartition(
         *S.CHUNK_KEYS
     )
+    position = F.transform("samples", lambda s, i: F.when(is_warning(s["z"], k), i))
+    warned = F.filter(position, lambda i: i.isNotNull())
     return parted.groupBy(*S.CHUNK_KEYS, "sensor_id").agg(
         F.min("sensor_order").alias("sensor_order"),
         F.array_sort(F.collect_list(sample)).alias("samples"),
-    )
+    ).withColumns({"n": F.size("samples"), "warned": warned})
 
 
 def _entering_levels(series: DataFrame, decay_rate: float, reset_above: float) -> DataFrame:
     """Level before the first sample of each chunk, as a map per chunk."""
 
     @F.pandas_udf(_PIECES)
-    def responses(warned: pd.Series) -> pd.Series:
-        return warned.map(
-            lambda w: [
-                {"upto": u, "slope": s, "base": b}
-                for u, s, b in chunk_response(np.asarray(w, dtype=bool), decay_rate, reset_above)
+    def responses(warned: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                [
+                    {"upto": upto, "slope": slope, "base": base}
+                    for upto, slope, base in chunk_response(w, count, decay_rate, reset_above)
+                ]
+                for w, count in zip(warned, n)
             ]
         )
 
-    pieces = series.select(
-        *S.CHUNK_KEYS, "sensor_id", responses(F.col("samples.warned")).alias("pieces")
-    )
+    pieces = series.select(*S.CHUNK_KEYS, "sensor_id", responses("warned", "n").alias("pieces"))
     # One entry per chunk of a period: a few hundred, whatever the sampling rate.
     chain = pieces.groupBy(*S.SENSOR_KEYS).agg(
         F.array_sort(F.collect_list(F.struct("chunk", "pieces"))).alias("chunks")
@@ -154,18 +160,18 @@ def alarm_series(
     entering = _entering_levels(series, decay_rate, reset_above)
 
     @F.pandas_udf("array<double>")
-    def levels(warned: pd.Series, entering: pd.Series) -> pd.Series:
+    def levels(warned: pd.Series, n: pd.Series, entering: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                chunk_levels(np.asarray(w, dtype=bool), e, decay_rate, reset_above)
-                for w, e in zip(warned, entering)
+                chunk_levels(w, count, level, decay_rate, reset_above)
+                for w, count, level in zip(warned, n, entering)
             ]
         )
 
     mine = F.element_at("entering", F.col("sensor_id"))["entering"]
     return (
         series.join(entering, S.CHUNK_KEYS)
-        .withColumn("levels", levels(F.col("samples.warned"), mine))
+        .withColumn("levels", levels("warned", "n", mine))
         .select(
             *S.CHUNK_KEYS,
             "sensor_order",

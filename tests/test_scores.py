@@ -215,12 +215,12 @@ def test_chunk_response_is_what_the_chunk_does(decay):
     rng = np.random.default_rng(2)
     for share in (0.05, 0.3, 0.9):
         for n in (1, 2, 7, 300):
-            warned = rng.random(n) < share
-            pieces = chunk_response(warned, decay, 3.0)
+            warned = np.flatnonzero(rng.random(n) < share)
+            pieces = chunk_response(warned, n, decay, 3.0)
             assert len(pieces) < 40
             for entering in [0.0, 3.0, *rng.uniform(0, 4, 20)]:
                 upto, slope, base = next(p for p in pieces if entering <= p[0])
-                direct = chunk_levels(warned, entering, decay, 3.0)[-1]
+                direct = chunk_levels(warned, n, entering, decay, 3.0)[-1]
                 assert slope * entering + base == pytest.approx(direct, abs=1e-12)
 
 
