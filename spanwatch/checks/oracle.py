@@ -11,6 +11,7 @@ from spanwatch.checks import feed as E
 
 K = "site, period, sensor_id"
 BIG_SHEET = (E.SITE_COUNT, E.BUCKET, E.CHANNELS)
+ONE_SITE = (1, E.BUCKET, E.CHANNELS)
 HOURLY = (1, "1 hour", E.CHANNELS)
 QUARTER_HOUR = (1, "15 minutes", E.CHANNELS)
 TWO_PROBES = (E.SITE_COUNT, E.BUCKET, E.TWO_PROBES)
@@ -390,6 +391,10 @@ FROM levels WHERE level >= 3.0""",
         levels_with(3.0), counts(3.0), label_rows(), SUMMARY, recursive=True
     )
     + "SELECT * FROM summary",
+    "a13_summary_one_site": with_(
+        levels_with(3.0, ONE_SITE), counts(3.0), label_rows(), SUMMARY, recursive=True
+    )
+    + "SELECT * FROM summary",
     "a15_time_extent": with_(control_with())
     + f"SELECT {K}, min(ts) AS first_ts, max(ts) AS last_ts FROM control GROUP BY ALL",
     "w6_time_axis": with_(feed())

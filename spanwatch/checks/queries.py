@@ -430,6 +430,14 @@ def a10_a13_summary_default(spark, sf_dir):
     return out.select(*S.SENSOR_KEYS, "label", "warnings", "alarms")
 
 
+@query
+def a13_summary_one_site(spark, sf_dir):
+    """The flagship: one site, from raw samples to warnings and alarms per sensor."""
+    one = lambda *at: _sheet(*at, sites=1)
+    out = sco.summary(_levels(spark, sf_dir, S.WARNING_Z, one), _labels(spark))
+    return out.select(*S.SENSOR_KEYS, "label", "warnings", "alarms")
+
+
 @query
 def a15_time_extent(spark, sf_dir):
     out = scoring.summarise(_levels(spark, sf_dir))

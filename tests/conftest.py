@@ -11,8 +11,9 @@ def spark(tmp_path_factory):
     from spanwatch.session import local_session
 
     session = local_session(
-        8,
+        4,
         **{
+            "spark.sql.shuffle.partitions": "3",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("stages")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
