@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanwatch import schema as S
 from spanwatch.functions import names
-from spanwatch.operators.chunks import CHUNK, width_micros, with_chunk
+from spanwatch.operators.chunks import CHUNK, with_chunk
 
 # Most cells of one chunk: enough to amortise a task's overhead, few enough to sort in memory.
 MAX_CELLS = 200_000
@@ -68,37 +68,44 @@ def site_facts(stamped: DataFrame) -> DataFrame:
     )
 
 
-def _split_chunks(stamped: DataFrame, chunk: str, max_cells: int) -> DataFrame:
+def _seconds(interval):
+    return interval.cast("interval second").cast("decimal(20,6)").cast("double")
+
+
+def _chunk_facts(stamped: DataFrame, max_cells: int) -> DataFrame:
     """Chunks with the facts of their site, and in how many parts to cut them."""
-    sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts")
+    )
     cells = F.col("n") * F.size("sensors")
     return sizes.join(site_facts(stamped), S.SITE_KEYS).select(
         *S.CHUNK_KEYS,
         "live_families",
         "sensors",
+        "from_ts",
+        _seconds(F.col("to_ts") - F.col("from_ts")).alias("extent"),
         F.greatest(F.lit(1), F.ceil(cells / max_cells)).alias("parts"),
-        F.lit(width_micros(chunk) / 1e6).alias("seconds"),
     )
 
 
-def sheet(stamped: DataFrame, chunk: str = CHUNK, max_cells: int = MAX_CELLS) -> DataFrame:
+def sheet(stamped: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """Timestamps at which every family of the site was sampled, with all live sensors.
 
     Same timestamps as an inner join of the families on (site, period, ts); a family without
     a live sensor at a site and period does not count. ``cells`` has one entry per live
-    sensor in column order, its value NULL where missing. ``chunk`` is the width that
-    ``stamps`` was given; a chunk of more than ``max_cells`` is cut into shorter ones, so
-    that what follows has no large group whatever the sampling rate.
+    sensor in column order, its value NULL where missing. A chunk of more than ``max_cells``
+    is cut into equal parts of the time it spans, so that what follows has no large group
+    whatever the sampling rate.
     """
     everything = "(families & live_families) = live_families AND size(sensors) > 0"
-    chunks = _split_chunks(stamped, chunk, max_cells)
-    kept = stamped.join(chunks, S.CHUNK_KEYS).where(everything)
-    into = (F.col("ts") - F.col("chunk")).cast("interval second").cast("decimal(20,6)")
-    part = F.floor(into.cast("double") / F.col("seconds") * F.col("parts"))
+    kept = stamped.join(_chunk_facts(stamped, max_cells), S.CHUNK_KEYS).where(everything)
+    share = F.try_divide(_seconds(F.col("ts") - F.col("from_ts")), F.col("extent"))
+    part = F.coalesce(F.least(F.floor(share * F.col("parts")), F.col("parts") - 1), F.lit(0))
     shift = F.make_dt_interval(
-        secs=(part * F.col("seconds") / F.col("parts")).cast("decimal(18,6)")
+        secs=(F.col("part") * F.col("extent") / F.col("parts")).cast("decimal(18,6)")
     )
-    kept = kept.withColumn("chunk", F.col("chunk") + shift)
+    part_start = F.when(F.col("part") > 0, F.col("from_ts") + shift).otherwise(F.col("chunk"))
+    kept = kept.withColumn("part", part).withColumn("chunk", part_start)
     values = F.map_from_entries(
         F.transform("entries", lambda e: F.struct(e["sensor_id"], e["value"]))
     )
