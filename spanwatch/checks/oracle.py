@@ -289,7 +289,7 @@ SELECT site, period, family, sensor_order, sensor_id, ts, {r6('value')} FROM (
   FROM feed WHERE family <> 'rot')
 WHERE place = 1""",
     "s5_s10_control_table": with_(control_with())
-    + f"SELECT {K}, ts, {r6('z')} AS z FROM control WHERE site IN ('P001', 'P004')",
+    + f"SELECT {K}, ts, {r6('z')} AS z FROM control",
     "s8_a12_kpis": with_(levels_with(1.0), counts(1.0), recursive=True)
     + """SELECT site, period,
   CASE WHEN site IN ('P002', 'P003') THEN printf('%.2f', top) ELSE 'N/A' END AS avg_displacement,

@@ -108,10 +108,10 @@ def s3_u1_family_files(spark, sf_dir):
 
 @query
 def s5_s10_control_table(spark, sf_dir):
-    """Scores written per site and period, and read back for the wanted pairs only."""
+    """Scores written per site and period, and read back for every pair of the feed."""
     folder = f"{stages.stage_folder(spark)}/spanwatch/results-{uuid.uuid4().hex}"
     stages.write_stage(_control(spark, sf_dir), folder, "control")
-    wanted = [("P001", "2024-01"), ("P004", "2024-01")]
+    wanted = [(f"P00{s}", "2024-01") for s in range(1, E.SITE_COUNT + 1)]
     reused = stages.reuse_stage(spark, folder, "control", wanted)
     return reused.select(*S.SENSOR_KEYS, "ts", r6("z").alias("z"))
 
