@@ -15,10 +15,17 @@ from spanwatch import schema as S
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder of the cluster's ``spark.checkpoint.dir``; a temporary one if unset."""
+    """The shared folder of the cluster's ``spark.checkpoint.dir``.
+
+    Unset, it is a temporary folder of this machine on a local master, where all tasks see
+    it, and an error elsewhere: executors would each write to their own disk.
+    """
     name = "spark.checkpoint.dir"
     folder = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name, None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"set {name} to a folder that driver and executors share (master: {master})")
         folder = tempfile.mkdtemp(prefix="spanwatch-")
         spark.conf.set(name, folder)
     return folder.rstrip("/")

@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from spanwatch.checks.oracle import ORACLE
+from spanwatch.checks.queries import QUERIES
 from tests.compare import difference, tables
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -18,13 +20,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = contract.queries()[name](spark, SF_DIR)
-    found = difference(df, con, contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    found = difference(df, con, ORACLE[name])
     assert found is None
 
 
