@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import entropy_mix, preference_format, url_rules, warc_revisits
+from spanwatch.llm import entropy_mix, kneser_ney, preference_format, simhash_gray, url_rules, warc_revisits
 from spanwatch.llm.common import table
 
 PATH_RULES = [
@@ -28,6 +28,10 @@ PATTERN_RULES = [
 ]
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_revisits.captures_of_pages(table(spark, sf_dir, "pages"))
     found = warc_revisits.resolve_revisits(records)
@@ -53,6 +57,13 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_gray.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = entropy_mix.mix_plan(table(spark, sf_dir, "documents"), weights=(3, 1, 2), budget=1.5, cap=2.0)
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -75,8 +86,10 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_kneser_ney,
         op2_warc_revisits,
         op3_url_rules,
+        op5_simhash_gray,
         op6_entropy_mix,
         op9_preference_format,
     )
