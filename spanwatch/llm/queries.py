@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import entropy_mix, kneser_ney, preference_format, simhash_gray, url_rules, warc_revisits
+from spanwatch.llm import entropy_mix, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
 from spanwatch.llm.common import table
 
 PATH_RULES = [
@@ -83,6 +83,10 @@ def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,5 +96,6 @@ QUERIES = {
         op5_simhash_gray,
         op6_entropy_mix,
         op9_preference_format,
+        op10_string_tiling,
     )
 }
