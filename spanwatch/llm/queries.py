@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import entropy_mix, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
+from spanwatch.llm import boosted_rules, entropy_mix, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
 from spanwatch.llm.common import table
 
 PATH_RULES = [
@@ -69,6 +69,11 @@ def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = boosted_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *boosted_rules.COUNTS, "base_failed", "kept")
+
+
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference_format.last_answer_pairs(table(spark, sf_dir, "conversations"))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
@@ -95,6 +100,7 @@ QUERIES = {
         op3_url_rules,
         op5_simhash_gray,
         op6_entropy_mix,
+        op7_boosted_rules,
         op9_preference_format,
         op10_string_tiling,
     )
