@@ -20,7 +20,7 @@ WITH parts AS (
       WHEN dotted LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
       WHEN dotted LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
       WHEN dotted LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
-    regexp_matches(subject, '^([^/?#]*\.)?ads(-track)?\.|/ads/|/banner/|/wp-login|/cart([^A-Za-z0-9_.%-]|$)|\?page=.*&ref=|\.exe$|\.zip$', 's') AS listed
+    regexp_matches(subject, '^([^/?#]*\.)?(ads|ads-track|casino-win|free-bets)\.|/ads/|/banner/|/wp-login|/cart([^A-Za-z0-9_.%-]|$)|\?page=.*&ref=|\.exe$|\.zip$', 's') AS listed
   FROM judged
 )
 SELECT page_id, host, path, rule,

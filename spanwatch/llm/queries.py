@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import boosted_rules, entropy_mix, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
+from spanwatch.llm import boosted_rules, entropy_mix, html_wrappers, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
 from spanwatch.llm.common import table
 
 PATH_RULES = [
@@ -18,6 +18,8 @@ PATH_RULES = [
 PATTERN_RULES = [
     ("||ads.", "block"),
     ("||ads-track.", "block"),
+    ("||casino-win.", "block"),
+    ("||free-bets.", "block"),
     ("/ads/", "block"),
     ("/banner/", "block"),
     ("/wp-login", "block"),
@@ -74,6 +76,11 @@ def op7_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *boosted_rules.COUNTS, "base_failed", "kept")
 
 
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrappers.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op9_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference_format.last_answer_pairs(table(spark, sf_dir, "conversations"))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
@@ -101,6 +108,7 @@ QUERIES = {
         op5_simhash_gray,
         op6_entropy_mix,
         op7_boosted_rules,
+        op8_html_wrappers,
         op9_preference_format,
         op10_string_tiling,
     )
