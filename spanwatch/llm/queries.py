@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import boosted_rules, entropy_mix, html_wrappers, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
+from spanwatch.llm import boosted_rules, entropy_mix, feistel_shards, html_wrappers, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
 from spanwatch.llm.common import table
+from spanwatch.sources.stages import stage_folder
+
+# Rank file of a public byte-level vocabulary for many languages.
+VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 PATH_RULES = [
     ("org", "/", "allow"),
@@ -59,6 +65,12 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{stage_folder(spark)}/spanwatch/shards-{uuid.uuid4().hex}"
+    shards = feistel_shards.write_shards(table(spark, sf_dir, "documents"), path, VOCABULARY)
+    return shards.select("shard", "slot", "n_tokens", "doc_ids", F.xxhash64("tokens").alias("token_hash"))
+
+
 def op5_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_gray.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -105,6 +117,7 @@ QUERIES = {
         op1_kneser_ney,
         op2_warc_revisits,
         op3_url_rules,
+        op4_feistel_shards,
         op5_simhash_gray,
         op6_entropy_mix,
         op7_boosted_rules,
