@@ -85,23 +85,29 @@ def _blocks(fixed: int) -> list[int]:
 
 def _groups(prints: DataFrame, group_rows: int) -> DataFrame:
     """``mask, value, fp``: every pair within the radius shares a group; groups of one are left out."""
+    spark = prints.sparkSession
     done: list[DataFrame] = []
-    fixed = [0]
+    masks = [0]
     rows = prints.select("fp", F.lit(0).cast("long").alias("mask"))
     while True:
-        finer = {_signed(m): [_signed(m | b) for b in _blocks(m)] for m in fixed}
-        to = F.create_map(*[x for m, ms in finer.items() for x in (F.lit(m), F.array(*[F.lit(v) for v in ms]))])
-        dealt = rows.select("fp", F.explode(to[F.col("mask")]).alias("mask")).withColumn(
-            "value", F.col("fp").bitwiseAND(F.col("mask"))
+        # At most four to the power of the depth rows, whatever the data.
+        finer = [(_signed(m), _signed(m | b)) for m in masks for b in _blocks(m)]
+        finer = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
+        dealt = rows.join(finer, "mask").select(
+            "fp", F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("value")
         )
-        fixed = [m | b for m in fixed for b in _blocks(m)]
         sizes = dealt.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"))
-        deepest = 64 - bin(fixed[0]).count("1") <= RADIUS + 1
         large = settle(sizes.filter(F.col("n") > group_rows), "simhash-large")
-        if deepest or large.isEmpty():
+        masks = [r["mask"] % (1 << 64) for r in large.select("mask").distinct().collect()]
+        # Groups that share all but a few bits are as small as they can be.
+        masks = [m for m in masks if 64 - m.bit_count() > RADIUS + 1]
+        if not masks:
             return _union([*done, dealt])
+        large = large.filter(F.col("mask").isin([_signed(m) for m in masks])).select("mask", "value")
         done.append(dealt.join(large, ["mask", "value"], "left_anti"))
-        rows = settle(dealt.join(large, ["mask", "value"], "left_semi").select("fp", "mask").distinct(), "simhash-deal")
+        rows = settle(
+            dealt.join(large, ["mask", "value"], "left_semi").select("fp", "mask").distinct(), "simhash-deal"
+        )
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
