@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 A step finds the smallest neighbour of each node with a combining aggregation and joins it back to
-the edges. No neighbourhood is collected: a hub's minimum is combined before the shuffle, and its
-edges lie in a plain join that adaptive execution splits.
+the edges. No neighbourhood is collected: a hub's minimum is combined before the shuffle and written, so
+that its edges meet it in a plain join of two exchanges, which adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ def _mark(edges: DataFrame):
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
     return both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges point from the larger to the smaller node."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = settle(edges.groupBy("u").agg(F.min("v").alias("m")), "components-least")
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
