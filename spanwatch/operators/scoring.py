@@ -9,22 +9,27 @@ from spanwatch import schema as S
 from spanwatch.operators.chunks import site_map, spread
 
 
+def _number(z: Column) -> Column:
+    """NaN as NULL: Spark sorts NaN above every number, so that it would count as a warning."""
+    return F.nanvl(z, F.lit(None).cast("double"))
+
+
 def warning_above(z: Column, k: float = S.WARNING_Z) -> Column:
-    return F.coalesce(z > k, F.lit(False))
+    return F.coalesce(_number(z) > k, F.lit(False))
 
 
 def warning_below(z: Column, k: float = S.WARNING_Z) -> Column:
-    return F.coalesce(z < -k, F.lit(False))
+    return F.coalesce(_number(z) < -k, F.lit(False))
 
 
 def is_warning(z: Column, k: float = S.WARNING_Z) -> Column:
-    """Strictly outside -k..k; NULL is no warning."""
-    return F.coalesce(F.abs(z) > k, F.lit(False))
+    """Strictly outside -k..k; NULL and NaN are no warning."""
+    return F.coalesce(F.abs(_number(z)) > k, F.lit(False))
 
 
 def out_of_range(z: Column, k: float = S.WARNING_Z) -> Column:
     """The score where it is outside -k..k, else NULL."""
-    return F.when(F.abs(z) > k, z)
+    return F.when(F.abs(_number(z)) > k, z)
 
 
 def residual_stats(scored: DataFrame, value: str = "residual") -> DataFrame:
@@ -39,6 +44,8 @@ def control_scores(
 ) -> DataFrame:
     """z-score of every residual against its own sensor's period; a constant gives 0.
 
+    An infinite residual leaves the sensor without a mean: its scores are NULL, not NaN.
+
     Mean and deviation are combined before the shuffle and carried back to the chunks,
     rather than taken in a window that would bring a sensor's whole period to one task.
     """
@@ -48,7 +55,7 @@ def control_scores(
     z = F.when(mine["sd"] == 0, F.col(value) * 0.0).otherwise(
         (F.col(value) - mine["mean"]) / mine["sd"]
     )
-    return rows.select(*scored.columns, z.alias("z"))
+    return rows.select(*scored.columns, _number(z).alias("z"))
 
 
 def summarise(levels: DataFrame, k: float = S.WARNING_Z, alert_th: float = S.ALARM_LEVEL) -> DataFrame:

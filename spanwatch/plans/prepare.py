@@ -139,6 +139,10 @@ def raw_series(sheeted: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+class NoDataError(ValueError):
+    """Nothing is left to score."""
+
+
 def prepare(
     readings: DataFrame,
     labels: DataFrame,
@@ -149,7 +153,7 @@ def prepare(
     """Align, measure what is missing, fill, compensate and score all sites and periods."""
     joined = aligned_sheet(readings, chunk)
     if joined.isEmpty():
-        raise ValueError("no data: no timestamp is common to the families of any site")
+        raise NoDataError("no data: no timestamp is common to the families of any site")
     features = filled_features(joined)
     models = settle(fit_models(features, registry), "models")
     if score_fn is None:

@@ -6,14 +6,16 @@ from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from spanwatch import schema as S
 from spanwatch.operators.chunks import CHUNK
 from spanwatch.operators.dimensions import site_dimension
-from spanwatch.plans.prepare import prepare
+from spanwatch.plans.prepare import NoDataError, prepare
 from spanwatch.plans.report import Report, report
 from spanwatch.plans.score import score
-from spanwatch.sources.families import read_readings
+from spanwatch.sources.families import read_readings, without_files
+from spanwatch.sources.paths import matching
 from spanwatch.sources.stages import only, read_stage, reuse_stage, settle, write_stage
 
 
@@ -26,12 +28,46 @@ def run_prepare(
     registry: DataFrame | None = None,
     chunk: str = CHUNK,
     score_fn=None,
-) -> None:
-    """Read the families and write the control, missing_data, gap_stats and raw_series tables."""
-    readings = read_readings(spark, sources, periods)
+) -> list[tuple[str, str, str]]:
+    """Read the families and write the control, missing_data, gap_stats and raw_series tables.
+
+    Returns (site, period, reason) of the pairs that could not be scored; they stop none of the
+    others. What an earlier run wrote for a pair goes, also where it has nothing now. If no pair
+    can be scored, that is a ``NoDataError``.
+    """
+    wanted = _wanted(sources, periods)
+    absent = without_files(spark, sources, periods)
+    failed = [(site, ym.strip()[:7], f"no {family} file") for (site, ym), family in absent.items()]
+    if len(absent) == len(wanted):
+        raise NoDataError(f"no data: {failed}")
+    readings = read_readings(spark, sources, periods, skip=absent)
     done = prepare(readings, labels, registry, chunk, score_fn)
-    for name in ("control", "missing_data", "gap_stats", "raw_series"):
-        write_stage(getattr(done, name), output, name)
+    for name in PREPARED:
+        write_stage(getattr(done, name), output, name, wanted)
+    there = {tuple(r) for r in done.control.select(*S.SITE_KEYS).distinct().collect()}
+    lost = {pair for pair in wanted if pair not in there} - {f[:2] for f in failed}
+    return failed + [(*pair, "no timestamp common to its families") for pair in sorted(lost)]
+
+
+PREPARED = ["control", "missing_data", "gap_stats", "raw_series"]
+
+# What the report reads of the displayed sensors; the table may have no row at all.
+_SHOWN = T.StructType(
+    [
+        T.StructField(name, kind)
+        for name, kind in (
+            ("sensor_order", T.IntegerType()),
+            ("sensor_id", T.StringType()),
+            ("label", T.StringType()),
+            ("site", T.StringType()),
+            ("period", T.StringType()),
+        )
+    ]
+)
+
+
+def _wanted(sources: Mapping[str, Mapping[str, str]], periods: Sequence[str]) -> list[tuple[str, str]]:
+    return [(site, ym.strip()[:7]) for site in sources for ym in periods]
 
 
 def run_all(
@@ -50,17 +86,28 @@ def run_all(
     """Prepare, score and report all sites of ``sources``, see ``read_readings``.
 
     With ``reuse_control`` the prepared tables must be there for every site and month, and
-    are read instead of computed.
+    are read instead of computed. Otherwise a pair that cannot be scored is reported in the table
+    ``status`` and the others finish. Results are kept by month: a period of one day is refused
+    where its month has results already, since it would replace them.
     """
+    wanted = _wanted(sources, periods)
+    days = [(site, ym.strip()[:7]) for site in sources for ym in periods if len(ym.strip()) > 7]
+    folders = [f"{output.rstrip('/')}/control/site={site}/period={month}" for site, month in days]
+    if folders and not reuse_control and matching(spark, folders):
+        raise ValueError(f"a day would replace the results of its month: {days}")
+    failed = []
     if not reuse_control:
-        run_prepare(spark, sources, periods, labels, output, registry, chunk, score_fn)
-    wanted = [(site, ym.strip()[:7]) for site in sources for ym in periods]
-    control = reuse_stage(spark, output, "control", wanted)
+        failed = run_prepare(spark, sources, periods, labels, output, registry, chunk, score_fn)
+    rows = [(*pair, next((f[2] for f in failed if f[:2] == pair), "done")) for pair in dict.fromkeys(wanted)]
+    status = spark.createDataFrame(rows, "site string, period string, status string")
+    write_stage(status, output, "status", wanted)
+    scored = [pair for pair in wanted if pair not in {f[:2] for f in failed}]
+    control = reuse_stage(spark, output, "control", scored)
     scores = score(control, labels)
     for name in ("score_series", "alarm_series", "alarm_events", "summary"):
-        write_stage(getattr(scores, name), output, name)
-    summary = reuse_stage(spark, output, "summary", wanted)
-    shown = only(read_stage(spark, output, "raw_series"), wanted)
+        write_stage(getattr(scores, name), output, name, wanted)
+    summary = reuse_stage(spark, output, "summary", scored)
+    shown = only(read_stage(spark, output, "raw_series", _SHOWN), wanted)
     sensors = shown.select(*S.SENSOR_KEYS, "sensor_order", "label").distinct()
     tables = report(
         summary,
@@ -71,5 +118,5 @@ def run_all(
         given_kpis,
     )
     for name in ("header", "missing", "summary", "manifest", "kpis"):
-        write_stage(getattr(tables, name), output, f"report_{name}")
+        write_stage(getattr(tables, name), output, f"report_{name}", wanted)
     return tables

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,17 +27,43 @@ def scan_family(
     """The files of one family, with site, period and origin of every row.
 
     Columns that only some files have are kept and are NULL in the others. To find them
-    Spark reads every file's footer; with very many files pass the ``schema`` instead.
+    Spark reads every file's footer; with very many files pass the ``schema`` instead. Where
+    files give a column different types, they are read in groups of one schema and their
+    sensors made DOUBLE.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    files = reader.parquet(*globs)
+    if schema is None:
+        try:
+            return _with_origin(spark.read.option("mergeSchema", True).parquet(*globs))
+        except (PySparkException, Py4JJavaError) as error:
+            if "CANNOT_MERGE" not in str(error):
+                raise
+        parts = [_with_origin(spark.read.parquet(*files), numbers=True) for files in _by_schema(spark, globs)]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _with_origin(spark.read.schema(schema).parquet(*globs))
+
+
+def _by_schema(spark: SparkSession, globs: Sequence[str]) -> list[list[str]]:
+    """Files (or folders of part files) of the globs, grouped by their schema."""
+    found: dict[str, list[str]] = {}
+    for file in paths.matching(spark, globs):
+        found.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    return list(found.values())
+
+
+def _with_origin(files: DataFrame, numbers: bool = False) -> DataFrame:
+    def value(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if not numbers or field.name in _TIME_COLUMNS:
+            return column.cast("timestamp_ntz") if numbers else column
+        return sensor_number(column, isinstance(field.dataType, T.StringType)).alias(field.name)
+
     path = F.col("_metadata.file_path")
     return files.select(
         paths.file_site(path).alias("site"),
         paths.file_period(path).alias("period"),
         path.alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
-        *[F.col(f"`{c}`") for c in files.columns],
+        *[value(f).alias(f.name) for f in files.schema.fields],
     )
 
 
@@ -92,9 +120,12 @@ def read_readings(
     periods: Sequence[str],
     width: str = S.BUCKET,
     schemas: Mapping[str, T.StructType] | None = None,
+    skip: Collection[tuple[str, str]] = (),
 ) -> DataFrame:
     """Readings of many sites and periods: one scan per family.
 
+    The (site, period) pairs in ``skip`` are left out, see ``without_files``.
+
     ``sources`` gives each site's family folders (``incl_path``, ``spost_path``, ``str_path``,
     ``tmp_path``); a family without a folder is left out at that site. ``periods`` are
     prefixes of the date in the file names. A glob that matches no file is an error.
@@ -102,6 +133,8 @@ def read_readings(
     globs: dict[str, list[str]] = {}
     for site, folders in sources.items():
         for ym in periods:
+            if (site, ym) in skip:
+                continue
             for family, glob in paths.family_globs(folders, site, ym.strip()).items():
                 globs.setdefault(family, []).append(glob)
     if not globs:
@@ -113,6 +146,19 @@ def read_readings(
     return reduce(DataFrame.unionByName, parts)
 
 
+def without_files(
+    spark: SparkSession, sources: Mapping[str, Mapping[str, str]], periods: Sequence[str]
+) -> dict[tuple[str, str], str]:
+    """The (site, period) pairs of which a family given has no file, and that family."""
+    return {
+        (site, ym): family
+        for site, folders in sources.items()
+        for ym in periods
+        for family, glob in paths.family_globs(folders, site, ym.strip()).items()
+        if not paths.matching(spark, [glob])
+    }
+
+
 def preview(df: DataFrame, *order_by: str, n: int = 5) -> DataFrame:
     """The first few rows in a given order."""
     return df.orderBy(*order_by).limit(n)

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import schema as S
+from spanwatch.sources.paths import plain
 
 _KPI_SCHEMA = "avg_displacement string, max_acceleration string, n_anomalies string"
 
 
 def read_kpis(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``{folder}/{site}/{year}_{month}/kpis.json``; site and period from the path."""
-    path = F.input_file_name()
+    path = plain(F.input_file_name())
     place = r"([^/]+)/(\d{4})_(\d{2})/kpis\.json$"
     files = spark.read.schema(_KPI_SCHEMA).json(
         f"{folder.rstrip('/')}/*/*/kpis.json", multiLine=True

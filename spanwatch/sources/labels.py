@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch.operators.dimensions import latest_labels
+from spanwatch.sources.paths import plain
 
 _DELIMITERS = [",", ";", "\t", "|"]
 
@@ -37,14 +39,17 @@ def read_labels(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFr
         headers = lines.groupBy("file").agg(F.min_by("value", "row").alias("header")).collect()
     except AnalysisException as error:
         raise FileNotFoundError(str(error)) from error
+    # Spark names a file by its encoded path; read it by the path that was given.
+    given = {path.rpartition("/")[2]: path for path in paths}
     by_delimiter: dict[str, list[str]] = defaultdict(list)
     for file, header in headers:
-        by_delimiter[_delimiter(header, file)].append(file)
+        path = given[unquote(file.rpartition("/")[2])]
+        by_delimiter[_delimiter(header, path)].append(path)
     parts = [
         spark.read.schema("label string, id string")
         .csv(files, sep=sep, header=True, ignoreLeadingWhiteSpace=True)
         .select(
-            F.regexp_extract(F.input_file_name(), r"([^/]+)_label-id\.csv$", 1).alias("site"),
+            F.regexp_extract(plain(F.input_file_name()), r"([^/]+)_label-id\.csv$", 1).alias("site"),
             "label",
             "id",
             F.monotonically_increasing_id().alias("row_no"),

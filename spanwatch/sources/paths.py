@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch import schema as S
@@ -29,8 +31,13 @@ def family_globs(folders: dict[str, str], site: str, ym: str) -> dict[str, str]:
 _FILE_NAME = r"([^/]+?)_(\d{4}-\d{2})[^/]*_(rot|dsp|str|tmp)\.parquet(?:/[^/]+)?$"
 
 
+def plain(path: Column) -> Column:
+    """A path as it was given: Spark's file columns have it URL-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def file_site(path: Column) -> Column:
-    return F.regexp_extract(path, _FILE_NAME, 1)
+    return F.regexp_extract(plain(path), _FILE_NAME, 1)
 
 
 def file_period(path: Column) -> Column:
@@ -40,3 +47,14 @@ def file_period(path: Column) -> Column:
 
 def file_family(path: Column) -> Column:
     return F.regexp_extract(path, _FILE_NAME, 3)
+
+
+def matching(spark: SparkSession, globs: Sequence[str]) -> list[str]:
+    """Files and folders that the globs name, in order, from any store Spark reads."""
+    jvm = spark._jvm
+    found: list[str] = []
+    for glob in globs:
+        path = jvm.org.apache.hadoop.fs.Path(glob)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += sorted(str(s.getPath().toString()) for s in system.globStatus(path) or ())
+    return found

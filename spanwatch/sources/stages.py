@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanwatch import schema as S
+from spanwatch.functions.text import sensor_number
+from spanwatch.sources.paths import matching, plain
 
 
 def stage_folder(spark: SparkSession) -> str:
@@ -44,23 +48,41 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_stage(df: DataFrame, folder: str, name: str) -> None:
+def _files(spark: SparkSession, table: str, pairs: Sequence[tuple[str, str]]) -> dict[str, set[str]]:
+    """Names of the files in the folders of the pairs, by folder."""
+    folders = [f"{table}/site={site}/period={period}" for site, period in pairs]
+    return {f: {x.rpartition("/")[2] for x in matching(spark, [f"{f}/*"])} for f in folders}
+
+
+def write_stage(
+    df: DataFrame, folder: str, name: str, wanted: Sequence[tuple[str, str]] = ()
+) -> None:
     """Write one table of results; of an existing table only the same sites and periods go.
 
-    The rows are rebalanced first: few files per site and period, a large one in several.
+    Pairs of ``wanted`` that have no row now lose the rows of an earlier run too. The rows are
+    rebalanced first: few files per site and period, a large one in several.
     """
+    spark, table = df.sparkSession, f"{folder.rstrip('/')}/{name}"
+    before = _files(spark, table, wanted)
     (
         df.hint("rebalance", *S.SITE_KEYS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.SITE_KEYS)
-        .parquet(f"{folder.rstrip('/')}/{name}")
+        .parquet(table)
     )
+    after = _files(spark, table, wanted)
+    for stale in [f for f, names in before.items() if names & after[f]]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(stale)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def read_stage(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def read_stage(
+    spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A table of results. With ``schema`` it may be there without a row."""
     path = f"{folder.rstrip('/')}/{name}"
-    found = spark.read.parquet(path).schema
+    found = schema or spark.read.parquet(path).schema
     # Read the folder names as they are: a site "001" is not the number 1.
     keys = {c: T.StructField(c, T.StringType()) for c in S.SITE_KEYS}
     schema = T.StructType([keys.get(f.name, f) for f in found.fields])
@@ -96,31 +118,83 @@ def reuse_stage(
     return table
 
 
-def write_control_csv(control: DataFrame, folder: str, sensors: list[str]) -> None:
-    """Scores as CSV, ``time`` first and one column per sensor, a folder per site and period."""
+def write_control_csv(control: DataFrame, folder: str, sensors: list[str] | None = None) -> None:
+    """Scores as CSV, ``time`` first and one column per sensor, a folder per site and period.
+
+    Sites and periods with the same sensors are written together, each with its own sensors
+    only; ``sensors`` limits and orders the columns.
+    """
     keys = [*S.SITE_KEYS, "ts"]
-    wide = control.groupBy(*keys).pivot("sensor_id", sensors).agg(F.first("z"))
-    ordered = wide.withColumnRenamed("ts", "time").sortWithinPartitions(*S.SITE_KEYS, "time")
-    (
-        ordered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*S.SITE_KEYS)
-        .csv(folder, header=True)
-    )
+    order = F.col("sensor_order") if "sensor_order" in control.columns else F.lit(0)
+    rows = control.select(*S.SITE_KEYS, order.alias("sensor_order"), "sensor_id").distinct().collect()
+    own: dict[tuple[str, str], list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r["sensor_order"], r["sensor_id"])):
+        own.setdefault((r["site"], r["period"]), []).append(r["sensor_id"])
+    alike: dict[tuple[str, ...], list[tuple[str, str]]] = {}
+    for pair, found in own.items():
+        columns = found if sensors is None else [s for s in sensors if s in found]
+        alike.setdefault(tuple(columns), []).append(pair)
+    for columns, pairs in alike.items():
+        wide = only(control, pairs).groupBy(*keys).pivot("sensor_id", list(columns)).agg(F.first("z"))
+        ordered = wide.withColumnRenamed("ts", "time").sortWithinPartitions(*S.SITE_KEYS, "time")
+        (
+            ordered.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*S.SITE_KEYS)
+            .csv(folder, header=True)
+        )
+
+
+# A folder per site and period, or one file named by site, year and month.
+_CONTROL_PLACES = [
+    r"/site=([^/]+)/period=([^/]+)/[^/]+$",
+    r"/control_([^/]+)_(\d{4}_\d{2})\.csv$",
+]
 
 
 def read_control_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores in long form from wide CSV files; ``time`` stays text as it is written."""
-    columns = spark.read.csv(folder, header=True).columns
-    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    wide = spark.read.schema(text).csv(folder, header=True)
+    """Scores in long form from wide CSV files; ``time`` stays text as it is written.
+
+    Site and period come from ``site=/period=`` folders or from file names
+    ``control_{site}_{year}_{month}.csv``. Each file's own header names its sensors: the first
+    lines come to the driver, and files with the same one are read together. Blank scores and
+    NaN are NULL.
+    """
+    folder = folder.rstrip("/")
+    files = matching(spark, [f"{folder}/site=*/period=*/*.csv", f"{folder}/control_*.csv"])
+    if not files:
+        raise FileNotFoundError(f"no control file in {folder}")
+    lines = spark.read.text(files).select(
+        plain(F.col("_metadata.file_path")).alias("file"), "value", F.monotonically_increasing_id().alias("row")
+    )
+    headers = lines.groupBy("file").agg(F.min_by("value", "row").alias("header")).collect()
+    alike: dict[str, list[str]] = {}
+    given = {_bare(f): f for f in files}
+    for file, header in headers:
+        alike.setdefault(header, []).append(given[_bare(file)])
+    parts = [_control_rows(spark, found) for _, found in sorted(alike.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme, which Spark and Hadoop spell in more than one way."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:/+", "/", path)
+
+
+def _control_rows(spark: SparkSession, files: list[str]) -> DataFrame:
+    columns = spark.read.csv(files[0], header=True).columns
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    # Without the base path Spark would add the folders as columns, in types it guesses.
+    wide = spark.read.schema(kind).option("recursiveFileLookup", True).csv(files, header=True)
     sensors = [c for c in columns if c not in ("time", *S.SITE_KEYS)]
+    path = plain(F.col("_metadata.file_path"))
+    place = [F.coalesce(*[F.nullif(F.regexp_extract(path, p, k), F.lit("")) for p in _CONTROL_PLACES]) for k in (1, 2)]
     score = [
         F.struct(
-            F.lit(i).alias("sensor_order"),
-            F.lit(s).alias("sensor_id"),
-            F.col(f"`{s}`").cast("double").alias("z"),
+            F.lit(i).alias("sensor_order"), F.lit(s).alias("sensor_id"), sensor_number(F.col(f"`{s}`"), True).alias("z")
         )
         for i, s in enumerate(sensors)
     ]
-    return wide.select(*S.SITE_KEYS, "time", F.inline(F.array(*score)))
+    return wide.select(
+        place[0].alias("site"), F.translate(place[1], "_", "-").alias("period"), "time", F.inline(F.array(*score))
+    )

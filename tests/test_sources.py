@@ -362,3 +362,94 @@ def test_steps_ignore_sensors(spark, bridge):
     _, folders, _ = bridge
     sheet = prep.aligned_sheet(families.read_readings(spark, {"P001": folders}, ["2025-12-01"]))
     assert steps.timeline(sheet).count() == 90
+
+
+def test_control_csv_of_sites_with_own_sensors(spark, tmp_path):
+    rows = [(s, "2025-12", k, n, frames.stamp(0), v) for s, k, n, v in [("P 1", 0, "A_x", 1.0), ("P 1", 1, "B_s", None), ("P002", 0, "C_x", 3.0), ("P002", 1, "D_s", 4.0)]]
+    control = spark.createDataFrame(rows, "site string, period string, sensor_order int, sensor_id string, ts timestamp_ntz, z double")
+    stages.write_control_csv(control, f"{tmp_path}/c")
+    found = {(r["site"], r["sensor_id"], r["z"]) for r in stages.read_control_csv(spark, f"{tmp_path}/c").collect()}
+    assert found == {("P 1", "A_x", 1.0), ("P 1", "B_s", None), ("P002", "C_x", 3.0), ("P002", "D_s", 4.0)}
+
+
+def test_control_csv_named_by_site_and_month(spark, tmp_path):
+    (tmp_path / "control_P001_2025_12.csv").write_text("time,A_x,B_s\n2025-12-01 00:00:00,1.5,NaN\n")
+    (tmp_path / "control_P002_2026_01.csv").write_text("time,B_s\n2026-01-01 00:00:00,\n")
+    out = sco.control_from_csv(spark, str(tmp_path)).collect()
+    assert {(r["site"], r["period"], r["sensor_id"], r["z"]) for r in out} == {
+        ("P001", "2025-12", "A_x", 1.5),
+        ("P001", "2025-12", "B_s", None),
+        ("P002", "2026-01", "B_s", None),
+    }
+
+
+def test_labels_in_a_folder_with_a_blank(spark, tmp_path):
+    folder = tmp_path / "my data+x" / "label-id"
+    folder.mkdir(parents=True)
+    (folder / "P 1_label-id.csv").write_text("label;id\nNord;A_x\n")
+    rows = labels.read_labels(spark, str(folder.parent), ["P 1"]).collect()
+    assert [(r["site"], r["label"]) for r in rows] == [("P 1", "Nord")]
+
+
+def test_day_files_of_different_types(spark, tmp_path):
+    save(tmp_path, "P001_2025-12-01_dsp.parquet", [frames.stamp(0)], A_s=[1], B_s=["2.5"])
+    save(tmp_path, "P001_2025-12-02_dsp.parquet", [frames.stamp(1)], A_s=[1.5], B_s=[" "])
+    save(tmp_path, "P001_2025-12-03_dsp.parquet", [frames.stamp(2)], A_s=[2], C_s=[7])
+    out = families.read_readings(spark, {"P001": {"spost_path": str(tmp_path)}}, ["2025-12"]).collect()
+    assert {(r["sensor_id"], r["value"]) for r in out} == {("A_s", 1.0), ("A_s", 1.5), ("A_s", 2.0), ("B_s", 2.5), ("C_s", 7.0)}
+
+
+def _run(spark, folder, sources, out, periods=("2025-12",), **more):
+    site_labels = labels.read_labels(spark, str(folder), ["P001"])
+    every = spark.createDataFrame([(s,) for s in sources], "s string").join(site_labels).select(F.col("s").alias("site"), "base_id", "label")
+    return run_all(spark, sources, list(periods), every, out, date(2026, 1, 7), **more)
+
+
+def test_run_leaves_other_sites_alone(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    other = tmp_path / "other"
+    other.mkdir()
+    for site, shift in (("P002", 30), ("P003", 0)):
+        save(other, f"{site}_2025-12-01_dsp.parquet", [frames.stamp(k) for k in range(20)], POT1_s=[float(k % 7) for k in range(20)])
+        stamps = [frames.stamp(k) + pd.Timedelta(seconds=shift) for k in range(20)]
+        save(other, f"{site}_2025-12-01_str.parquet", stamps, EST1_e=[float(k % 5) for k in range(20)])
+    mine = {"spost_path": str(other), "str_path": str(other)}
+    sources = {"P001": folders, "P002": mine, "P003": mine, "P004": mine}
+    out = f"{tmp_path}/out"
+    tables = _run(spark, folder, sources, out)
+    status = {r["site"]: r["status"] for r in stages.read_stage(spark, out, "status").collect()}
+    assert status == {"P001": "done", "P002": "no timestamp common to its families", "P003": "done", "P004": "no str file"}
+    assert {r["site"] for r in tables.summary.select("site").distinct().collect()} == {"P001", "P003"}
+
+
+def test_run_without_probes_and_stale_rows(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    some = {k: v for k, v in folders.items() if k in ("incl_path", "spost_path")}
+    out = f"{tmp_path}/out"
+    tables = _run(spark, folder, {"P001": some}, out)
+    assert tables.summary.count() == 3 and tables.manifest.where("section = 'raw'").count() == 0
+    old = stages.read_stage(spark, out, "control").limit(1)
+    stages.write_stage(old, f"{tmp_path}/t", "events", [("P001", "2025-12")])
+    assert stages.read_stage(spark, f"{tmp_path}/t", "events").count() == 1
+    stages.write_stage(old.limit(0), f"{tmp_path}/t", "events", [("P001", "2025-12")])
+    assert stages.read_stage(spark, f"{tmp_path}/t", "events", old.schema).count() == 0
+    with pytest.raises(ValueError, match="a day would replace"):
+        _run(spark, folder, {"P001": some}, out, ["2025-12-01"])
+
+
+def test_stage_folder_must_be_shared_on_a_cluster(monkeypatch):
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="executors share"):
+        stages.stage_folder(Session())
