@@ -374,6 +374,18 @@ FROM filled WHERE role = 'struct' WINDOW w AS (PARTITION BY {K})""",
     "p8_out_of_range": with_(control_with())
     + f"""SELECT {K}, ts, {r6('z')} AS z, CASE WHEN abs(z) > 3 THEN {r6('z')} END AS z_out
 FROM control""",
+    "f10_nan_scores": with_(feed())
+    + f"""SELECT {K}, count(*) FILTER (WHERE event_id % 7 <> 0 AND z > 1)::BIGINT AS above,
+  count(*) FILTER (WHERE event_id % 7 <> 0 AND z < -1)::BIGINT AS below,
+  count(*) FILTER (WHERE event_id % 7 <> 0 AND (z > 1 OR z < -1))::BIGINT AS either,
+  count(*) FILTER (WHERE event_id % 7 <> 0 AND (z > 1 OR z < -1))::BIGINT AS outside
+FROM (SELECT *, CASE WHEN event_id % 11 = 0 THEN '-inf'::DOUBLE WHEN event_id % 13 = 0 THEN NULL
+  ELSE value / 50 END AS z FROM feed) GROUP BY ALL""",
+    "f10_infinite_sample": with_(control_with())
+    + f"""SELECT {K},
+  count(z) FILTER (WHERE NOT (site = 'P001' AND sensor_id = 'POT01_s'))::BIGINT AS scores,
+  count(*) FILTER (WHERE abs(z) > 1 AND NOT (site = 'P001' AND sensor_id = 'POT01_s'))::BIGINT AS warnings
+FROM control GROUP BY ALL""",
     "f10_thresholds": with_(control_with())
     + f"""SELECT {K}, count(*) FILTER (WHERE z > 1)::BIGINT AS above,
   count(*) FILTER (WHERE z < -1)::BIGINT AS below,
@@ -499,3 +511,41 @@ SELECT artefact FROM (
     || ['.png', '.JPG', '.csv', '.jpeg', '_Torte.png'][doc_id % 5 + 1] AS artefact FROM documents)
 WHERE regexp_matches(lower(artefact), '\\.(png|jpg|jpeg)$') AND lower(artefact) NOT LIKE '%torte%'""",
 }
+
+# The feed as files: whole numbers in the strain of the first ten days; P004 has no temperature and
+# P005 nothing in common among its families.
+_FLOORED = (
+    "avg(value) AS value",
+    "CASE WHEN any_value(family) = 'str' AND day(min(ts)) <= 10 "
+    "THEN floor(avg(value)) ELSE avg(value) END AS value",
+)
+_NO_PROBE = (E.SITE_COUNT, E.BUCKET, [c for c in E.CHANNELS if c[1] != "tmp"])
+_PLAIN = """
+scored AS (
+  SELECT site, period, sensor_id, ts, rn, filled AS residual FROM filled WHERE role = 'struct'
+)"""
+
+
+def _run_summary(sites: str, *scored: str) -> str:
+    parts = with_(*scored, CONTROL, levels(3.0), counts(3.0), label_rows(), SUMMARY, recursive=True)
+    return f"SELECT * FROM ({parts} SELECT * FROM summary WHERE site IN ({sites}))".replace(*_FLOORED)
+
+
+ORACLE["c8_run_all"] = (
+    _run_summary("'P001', 'P002', 'P003'", cells(*BIG_SHEET), FILLED, SCORED)
+    + " UNION ALL "
+    + _run_summary("'P004'", cells(*_NO_PROBE), FILLED, _PLAIN)
+)
+ORACLE["c8_run_status"] = """SELECT DISTINCT 'P00' || (1 + user_id % 5) AS site, strftime(ts, '%Y-%m') AS period,
+  CASE WHEN user_id % 5 = 4 THEN 'no timestamp common to its families' ELSE 'done' END AS status FROM events"""
+ORACLE["s3_file_scan"] = (
+    with_(readings(*BIG_SHEET)).replace(*_FLOORED)
+    + f"""SELECT site, period, family, sensor_id,
+  CASE WHEN site = 'P005' AND family = 'str' THEN ts + INTERVAL '1 minute' ELSE ts END AS ts, {r6('value')} AS value
+FROM readings WHERE NOT (site = 'P004' AND family = 'tmp')"""
+)
+ORACLE["s5_control_csv"] = (
+    with_(control_with())
+    + f"""SELECT {K}, ts, {r6('z')} AS z FROM control
+WHERE NOT (site = 'P001' AND sensor_id = 'ICD01_x') AND NOT (site = 'P002' AND sensor_id = 'EST01_e')"""
+)
