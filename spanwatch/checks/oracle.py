@@ -314,8 +314,11 @@ WHERE value IS NOT NULL AND sensor_id NOT IN ('EST01_e', 'POT01_s') GROUP BY ALL
     + f"""SELECT {K}, ts, {r6('value')} AS value FROM (
   SELECT {K}, date_trunc('second', ts) AS ts, value, row_number() OVER (
     PARTITION BY {K}, date_trunc('second', ts) ORDER BY event_id) AS place
-  FROM feed WHERE family IN ('dsp', 'str'))
-WHERE place = 1""",
+  FROM feed WHERE family <> 'rot')
+WHERE place = 1
+UNION ALL
+SELECT {K}, time_bucket(INTERVAL '15 minutes', ts) AS ts, {r6('avg(value)')} AS value
+FROM feed WHERE family = 'rot' GROUP BY ALL""",
     "j2_keep_first": with_(feed())
     + f"""SELECT site, sensor_id, bucket, {r6('value')} AS value, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY site, sensor_id, bucket
@@ -350,11 +353,12 @@ FROM cells WHERE role = 'temp' GROUP BY site, period, ts""",
 FROM fits""",
     "j8_s9_model_lookup": with_(scored_with())
     + f"""SELECT {K}, ts, CASE WHEN m.mean IS NULL THEN 'fallback' ELSE 'prefit' END AS model_source,
-  {r6('(CASE WHEN m.mean IS NULL THEN residual ELSE y - (round(m.mean, 3) + 0.5 * t) END)')} AS residual
+  {r6('(CASE WHEN m.mean IS NULL THEN residual ELSE y - (round(m.mean, 3) + m.share * t) END)')} AS residual
 FROM scored LEFT JOIN (
-  SELECT site, sensor_id, avg(value) AS mean FROM feed
-  WHERE (site = 'P001' AND sensor_id IN ('ICD01_x', 'POT01_s'))
-     OR (site = 'P004' AND sensor_id = 'EST01_e') GROUP BY ALL) m USING (site, sensor_id)""",
+  SELECT site, sensor_id, avg(value) AS mean,
+    CASE WHEN site IN ('P001', 'P004') THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END AS share FROM feed
+  WHERE (site = 'P001' AND sensor_id = 'ICD01_x') OR (site = 'P004' AND sensor_id = 'EST01_e')
+     OR (site IN ('P001', 'P002', 'P003') AND sensor_id = 'POT01_s') GROUP BY ALL) m USING (site, sensor_id)""",
     "c2_predictions": with_(scored_with())
     + f"""SELECT {K}, ts, rn, {r6('y_pred')} AS y_pred, {r6('residual')} AS residual FROM scored""",
     "a8_sigma": with_(cells(*TWO_PROBES), FILLED, TWO_FITS)

@@ -245,17 +245,18 @@ def p2_p5_text_values(spark, sf_dir):
 
 @query
 def p7_time_column(spark, sf_dir):
-    """Text timestamps under ``datetime`` for one family, under ``time`` for another."""
+    """Text timestamps under ``datetime`` for some families, under ``time`` for the others."""
     samples = E.feed(spark, sf_dir)
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     keep = [*S.SITE_KEYS, F.col("event_id").alias("src_row")]
-    dsp = samples.where("family = 'dsp'").select(
-        *keep, stamp.alias("datetime"), F.col("value").alias("POT01_s")
-    )
-    strain = samples.where("family = 'str'").select(
-        *keep, stamp.alias("time"), F.col("value").alias("EST01_e")
-    )
-    both = families.wide_readings(dsp, "dsp").unionByName(families.wide_readings(strain, "str"))
+    both = None
+    for family, column in (("rot", "datetime"), ("dsp", "datetime"), ("str", "time"), ("tmp", "time")):
+        sensors = [
+            F.when(F.col("sensor_id") == s, F.col("value")).alias(s) for _, f, _, s in E.CHANNELS if f == family
+        ]
+        wide = samples.where(F.col("family") == family).select(*keep, stamp.alias(column), *sensors)
+        part = families.wide_readings(wide, family).where("sensor_id IS NOT NULL")
+        both = part if both is None else both.unionByName(part)
     return both.select(*S.SENSOR_KEYS, "ts", r6("value").alias("value"))
 
 
@@ -374,15 +375,17 @@ def a9_ols_2(spark, sf_dir):
     )
 
 
-def _registry(spark, sf_dir):
-    """Models for three sensors, made from the feed: half the temperature plus the mean."""
+_THREE = "(site = 'P001' AND sensor_id IN ('ICD01_x', 'POT01_s')) OR (site = 'P004' AND sensor_id = 'EST01_e')"
+
+
+def _registry(spark, sf_dir, chosen=_THREE, share=0.5):
+    """Models for some sensors, made from the feed: a share of the temperature plus the mean."""
     means = E.feed(spark, sf_dir).groupBy("site", "sensor_id").agg(F.avg("value").alias("mean"))
-    chosen = "(site = 'P001' AND sensor_id IN ('ICD01_x', 'POT01_s')) OR (site = 'P004' AND sensor_id = 'EST01_e')"
     return means.where(chosen).select(
         "site",
         "sensor_id",
         F.array(F.lit("TMP01_t")).alias("feature_names"),
-        F.array(F.lit(0.5)).alias("coefs"),
+        F.array(F.lit(share)).alias("coefs"),
         F.round("mean", 3).alias("intercept"),
     )
 
@@ -390,7 +393,11 @@ def _registry(spark, sf_dir):
 @query
 def j8_s9_model_lookup(spark, sf_dir):
     features = prep.filled_features(_sheet(spark, sf_dir))
-    registry = models.combine(_registry(spark, sf_dir), _registry(spark, sf_dir))
+    # The other table overlaps in one sensor, adds two, and is read back from its files.
+    other = _registry(spark, sf_dir, "sensor_id = 'POT01_s' AND site IN ('P001', 'P002', 'P003')", 0.25)
+    folder = f"{stages.stage_folder(spark)}/spanwatch/registry-{uuid.uuid4().hex}"
+    other.write.parquet(folder)
+    registry = models.combine(_registry(spark, sf_dir), models.read_registry(spark, folder))
     scored = prep.thermal_residuals(features, registry, n_probes=1)
     return scored.select(*S.SENSOR_KEYS, "ts", "model_source", r6("residual").alias("residual"))
 
