@@ -1,78 +1,31 @@
-"""Byte-pair encoding with a rank file, and a memory of words."""
+"""Byte-pair encoding with a rank file."""
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import tiktoken
 
 # Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-HELD_WORDS = 500_000
-LONG_WORD = 100
 
 
 class Encoder:
-    """Texts to token ids of two bytes, equal to encoding each text as a whole.
-
-    The pattern never joins what stands before a single blank with what follows, so texts are cut at
-    blanks and words looked up; unknown words of a batch are encoded in one call. Texts with long
-    words or with blanks beside other white space are encoded whole.
-    """
+    """Texts to little-endian token ids of two bytes, one text at a time."""
 
     def __init__(self, ranks: bytes):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        self.size = max(table.values()) + 1
+        if self.size >= 1 << 16:
+            raise ValueError("ids, and one more for the end mark, must fit two bytes")
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        if max(table.values()) >= 1 << 16 or b" " not in table:
-            raise ValueError("ids must fit two bytes, and a blank must be a token")
-        self.opens = np.zeros(max(table.values()) + 1, bool)
-        self.opens[[i for token, i in table.items() if token.startswith(b" ")]] = True
-        self.known: dict[str, bytes | None] = {}
-
-    @property
-    def size(self) -> int:
-        return len(self.opens)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) > HELD_WORDS:
-            self.known.clear()
-        plain = []
-        for word in words:
-            if not word or len(word) > LONG_WORD or word[0].isspace() or word[-1].isspace():
-                self.known[word] = None
-            else:
-                plain.append(word)
-        if plain:
-            ids = np.array(self.encoding.encode_ordinary(" " + " ".join(plain)), "<u2")
-            cuts = np.flatnonzero(self.opens[ids])
-            if len(cuts) == len(plain):
-                data, edges = ids.tobytes(), [*(2 * cuts).tolist(), 2 * len(ids)]
-                for word, a, b in zip(plain, edges, edges[1:], strict=False):
-                    self.known[word] = data[a:b]
-            else:
-                self.known.update((word, self.whole(" " + word)) for word in plain)
-
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids per text, none for null."""
-        known = self.known
-        cut = [t.split(" ") if t else [] for t in texts]
-        new = {w for words in cut for w in words[1:] if w not in known}
-        if new:
-            self._learn(list(new))
-        out = []
-        for text, words in zip(texts, cut, strict=True):
-            if not words:
-                out.append(b"")
-                continue
-            first = words[0]
-            try:
-                if first[-1:].isspace() or len(first) > LONG_WORD:
-                    raise TypeError
-                out.append(self.whole(first) + b"".join([known[w] for w in words[1:]]))
-            except (TypeError, KeyError):
-                out.append(self.whole(text))
-        return out
+    def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; none for null."""
+        for text in texts:
+            yield self.whole(text) if text else b""

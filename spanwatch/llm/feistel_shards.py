@@ -79,7 +79,8 @@ def _counted(documents: DataFrame, ranks) -> list[tuple[int, int, int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total, mark = Encoder(ranks.value), 0, 0
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()), strict=True):
+            texts = (t.as_py() for t in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
                 n = len(ids) // 2 + 1 if ids else 0
                 total, mark = total + n, _mark(mark, doc, n)
         part = TaskContext.get().partitionId()
@@ -110,7 +111,8 @@ def _pieces(documents: DataFrame, ranks, counted, length: int, per_shard: int, k
         begin, mark = at, 0
         for batch in batches:
             docs, own, starts, cut = [], [], [], []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(batch.column(1).to_pylist()), strict=True):
+            texts = (t.as_py() for t in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
                 size = len(ids) // 2 + 1 if ids else 0
                 mark = _mark(mark, doc, size)
                 if not size:

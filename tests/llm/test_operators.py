@@ -502,10 +502,11 @@ def encoder():
     return Encoder(Path(VOCABULARY).read_bytes())
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="ab É雪'12.,\n\t  ", max_size=40))
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=40))
 def test_encoder(encoder, text):
-    assert encoder.batch([text, None, text + " a"]) == [encoder.whole(text), b"", encoder.whole(text + " a")]
+    ids, none = encoder.batch([text, None])
+    assert encoder.encoding.decode(np.frombuffer(ids, "<u2").tolist()) == text and none == b""
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 17, 64, 1_000, 4_097])
