@@ -14,11 +14,16 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanwatch.schema import CHUNK_KEYS, SITE_KEYS
+from spanwatch.sources.stages import settle
 
 CHUNK = "6 hours"
 
+# Facts of all sites and periods with at most this many entries are sent to every task.
+SENT_ENTRIES = 200_000
+
 _UNIT_MICROS = {
     "microsecond": 1,
     "millisecond": 1_000,
@@ -59,10 +64,15 @@ def with_chunk(df: DataFrame, width: str = CHUNK) -> DataFrame:
 def spread(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Attach one row of facts per (site, period) to every row of that site and period.
 
-    The facts are first copied to each chunk, so the join runs on the chunk keys: no task
-    gets more than a chunk, however large a site is, and the rows stay partitioned for the
-    operator that follows.
+    Facts with at most ``SENT_ENTRIES`` entries in all their maps and arrays go to every task, and
+    the rows are not moved. Beyond that they are first copied to each chunk, so the join runs on the
+    chunk keys: no task gets more than a chunk, however large a site is.
     """
+    facts = settle(facts, "facts")
+    held = [F.size(f"`{f.name}`") for f in facts.schema.fields if isinstance(f.dataType, T.MapType | T.ArrayType)]
+    size = facts.agg(F.sum(sum((F.greatest(h, F.lit(0)) for h in held), F.lit(1)))).first()[0]
+    if (size or 0) <= SENT_ENTRIES:
+        return rows.join(F.broadcast(facts), SITE_KEYS)
     chunks = rows.select(*CHUNK_KEYS).distinct()
     return rows.join(chunks.join(facts, SITE_KEYS), CHUNK_KEYS)
 
