@@ -121,7 +121,8 @@ def _entering_levels(series: DataFrame, decay_rate: float, reset_above: float) -
         )
 
     pieces = series.select(*S.CHUNK_KEYS, "sensor_id", responses("warned", "n").alias("pieces"))
-    # One entry per chunk of a period: a few hundred, whatever the sampling rate.
+    # One entry per chunk of a period. Chunks with many cells are cut, so entries grow with the data,
+    # by one for each MAX_CELLS cells.
     chain = pieces.groupBy(*S.SENSOR_KEYS).agg(
         F.array_sort(F.collect_list(F.struct("chunk", "pieces"))).alias("chunks")
     )

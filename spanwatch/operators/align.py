@@ -7,12 +7,12 @@ in one DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanwatch import schema as S
 from spanwatch.functions import names
-from spanwatch.operators.chunks import CHUNK, with_chunk
+from spanwatch.operators.chunks import CHUNK, bucket_start, with_chunk
 
 # Most cells of one chunk: enough to amortise a task's overhead, few enough to sort in memory.
 MAX_CELLS = 200_000
@@ -68,44 +68,57 @@ def site_facts(stamped: DataFrame) -> DataFrame:
     )
 
 
-def _seconds(interval):
-    return interval.cast("interval second").cast("decimal(20,6)").cast("double")
-
-
 def _chunk_facts(stamped: DataFrame, max_cells: int) -> DataFrame:
-    """Chunks with the facts of their site, and in how many parts to cut them."""
-    sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(
-        F.count(F.lit(1)).alias("n"), F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts")
-    )
+    """Chunks with the facts of their site, their rows, and in how many parts to cut them."""
+    sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(F.count(F.lit(1)).alias("n"))
     cells = F.col("n") * F.size("sensors")
     return sizes.join(site_facts(stamped), S.SITE_KEYS).select(
         *S.CHUNK_KEYS,
         "live_families",
         "sensors",
-        "from_ts",
-        _seconds(F.col("to_ts") - F.col("from_ts")).alias("extent"),
+        "n",
         F.greatest(F.lit(1), F.ceil(cells / max_cells)).alias("parts"),
     )
 
 
+def _cuts(stamped: DataFrame, large: DataFrame) -> DataFrame:
+    """Start of the part that holds a second of a large chunk; parts have as many rows each.
+
+    Rows are counted by the second, so a part exceeds its share by one second's rows at most.
+    """
+    seconds = (
+        stamped.join(large, S.CHUNK_KEYS)
+        .withColumn("second", bucket_start("ts", "1 second"))
+        .groupBy(*S.CHUNK_KEYS, "second", "n", "parts")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    chunk = Window.partitionBy(*S.CHUNK_KEYS)
+    before = F.sum("rows").over(chunk.orderBy("second")) - F.col("rows")
+    numbered = seconds.withColumn("part", F.floor(before * F.col("parts") / F.col("n")))
+    start = F.min("second").over(Window.partitionBy(*S.CHUNK_KEYS, "part"))
+    return numbered.select(
+        *S.CHUNK_KEYS, "second", F.when(F.col("part") > 0, start).otherwise(F.col("chunk")).alias("part_start")
+    )
+
+
 def sheet(stamped: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """Timestamps at which every family of the site was sampled, with all live sensors.
 
     Same timestamps as an inner join of the families on (site, period, ts); a family without
     a live sensor at a site and period does not count. ``cells`` has one entry per live
     sensor in column order, its value NULL where missing. A chunk of more than ``max_cells``
-    is cut into equal parts of the time it spans, so that what follows has no large group
-    whatever the sampling rate.
+    is cut into parts of as many rows, so that what follows has no large group whatever the
+    sampling rate, bursts included.
     """
     everything = "(families & live_families) = live_families AND size(sensors) > 0"
-    kept = stamped.join(_chunk_facts(stamped, max_cells), S.CHUNK_KEYS).where(everything)
-    share = F.try_divide(_seconds(F.col("ts") - F.col("from_ts")), F.col("extent"))
-    part = F.coalesce(F.least(F.floor(share * F.col("parts")), F.col("parts") - 1), F.lit(0))
-    shift = F.make_dt_interval(
-        secs=(F.col("part") * F.col("extent") / F.col("parts")).cast("decimal(18,6)")
-    )
-    part_start = F.when(F.col("part") > 0, F.col("from_ts") + shift).otherwise(F.col("chunk"))
-    kept = kept.withColumn("part", part).withColumn("chunk", part_start)
+    facts = _chunk_facts(stamped, max_cells)
+    kept = stamped.join(facts, S.CHUNK_KEYS).where(everything)
+    large = facts.where("parts > 1").select(*S.CHUNK_KEYS, "n", "parts")
+    if not large.isEmpty():
+        keys = [*S.CHUNK_KEYS, "second"]
+        kept = kept.withColumn("second", bucket_start("ts", "1 second"))
+        kept = kept.join(_cuts(stamped, large), keys, "left")
+        kept = kept.withColumn("chunk", F.coalesce("part_start", "chunk"))
     values = F.map_from_entries(
         F.transform("entries", lambda e: F.struct(e["sensor_id"], e["value"]))
     )

@@ -211,3 +211,16 @@ def test_row_numbers_become_quarter_hours(spark):
 def test_large_numbers_are_epoch_nanoseconds(spark):
     out = steps.repair_time(numeric_time(spark, [1.7646336e18, 1.764634e18])).orderBy("time")
     assert [r["ts"] for r in out.collect()] == [at("2025-12-02"), at("2025-12-02 00:06:40")]
+
+
+def test_a_burst_is_cut_by_count(spark):
+    """Nearly all rows within a minute, one hours later: parts have as many rows."""
+    from datetime import timedelta
+
+    from pyspark.sql import functions as F
+
+    times = [frames.START + timedelta(milliseconds=100 * k) for k in range(400)] + [frames.START + timedelta(hours=5)]
+    rows = [("P001", "2025-12", "dsp", 0, "A_s", t, float(k)) for k, t in enumerate(times)]
+    stamped = align.stamps(spark.createDataFrame(rows, "site string, period string, family string, sensor_order int, sensor_id string, ts timestamp_ntz, value double"))
+    sizes = [r["n"] for r in align.sheet(stamped, max_cells=30).groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 401 and len(sizes) >= 11 and max(sizes) <= 40
