@@ -32,7 +32,7 @@ ORDER = 5
 SYMBOL_BITS = 12
 OTHER, START = 0, 1
 ALPHABET = (1 << SYMBOL_BITS) - 2
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 SHARD_ROWS = 1_500_000
 QUANTILE = 0.998
 LEAST_TRUSTED = 50
@@ -108,7 +108,7 @@ def count_grams(texts: DataFrame, alphabet: list[int]) -> DataFrame:
                 n = np.concatenate([held["n"], np.bincount(code, minlength=len(key))])
                 code, key = pd.factorize(keys)
                 held = {"key": key, "n": np.bincount(code, n, minlength=len(key)).astype(np.int64)}
-                if len(key) > 1_000_000:
+                if len(key) > 500_000:
                     yield pa.record_batch([pa.array(held["key"]), pa.array(held["n"])], names=["key", "n"])
                     held = {k: v[:0] for k, v in held.items()}
         yield pa.record_batch([pa.array(held["key"]), pa.array(held["n"])], names=["key", "n"])

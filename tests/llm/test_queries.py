@@ -7,7 +7,6 @@ import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
-import duckdb
 import pytest
 import xxhash
 
@@ -204,4 +203,3 @@ def test_op4(spark, documents):
     slots = sorted(r["slot"] for r in rows)
     assert slots == list(range(len(rows)))
     assert {d for r in rows for d in r["doc_ids"]} == {d[0] for d in documents if d[1]}
-    assert duckdb is not None
