@@ -36,6 +36,7 @@ PER_SHARD = 4_096
 ROUNDS = 6
 KEY = 20_240_601
 ATTEMPTS = 3
+SENT_BYTES = 2_000_000  # of tokens in one batch of pieces
 
 
 def _round(half: np.ndarray, key: int, turn: int, bits: int) -> np.ndarray:
@@ -109,8 +110,25 @@ def _pieces(documents: DataFrame, ranks, counted, length: int, per_shard: int, k
         end = np.array([encoder.size], "<u2").tobytes()
         at, n, wanted = sent.value.get(TaskContext.get().partitionId(), (0, 0, 0))
         begin, mark = at, 0
+        docs, own, starts, cut, held = [], [], [], [], 0
+
+        def rows(kind: pa.DataType) -> pa.RecordBatch:
+            slots = permute(np.array(own), count, key)
+            out = pa.record_batch(
+                [
+                    pa.array(slots // per_shard),
+                    pa.array(slots),
+                    pa.array(starts, pa.int32()),
+                    pa.array(docs, kind),
+                    pa.array(cut, pa.binary()),
+                ],
+                names=["shard", "slot", "start", "doc_id", "tokens"],
+            )
+            for column in (docs, own, starts, cut):
+                column.clear()
+            return out
+
         for batch in batches:
-            docs, own, starts, cut = [], [], [], []
             texts = (t.as_py() for t in batch.column(1))
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
                 size = len(ids) // 2 + 1 if ids else 0
@@ -126,18 +144,13 @@ def _pieces(documents: DataFrame, ranks, counted, length: int, per_shard: int, k
                     starts.append(a - number * length)
                     cut.append(ids[2 * (a - at) : 2 * (b - at)])
                 at += size
+                held += len(ids)
+                if held >= SENT_BYTES:
+                    yield rows(batch.column(0).type)
+                    held = 0
             if docs:
-                slots = permute(np.array(own), count, key)
-                yield pa.record_batch(
-                    [
-                        pa.array(slots // per_shard),
-                        pa.array(slots),
-                        pa.array(starts, pa.int32()),
-                        pa.array(docs, batch.column(0).type),
-                        pa.array(cut, pa.binary()),
-                    ],
-                    names=["shard", "slot", "start", "doc_id", "tokens"],
-                )
+                yield rows(batch.column(0).type)
+                held = 0
         if at - begin != n or mark != wanted:
             raise RuntimeError(CHANGED)
 
