@@ -80,9 +80,9 @@ def _counted(documents: DataFrame, ranks) -> list[tuple[int, int, int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total, mark = Encoder(ranks.value), 0, 0
         for batch in batches:
-            texts = (t.as_py() for t in batch.column(1))
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
-                n = len(ids) // 2 + 1 if ids else 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                n = len(encoder.encoding.encode_ordinary(text)) + 1 if text else 0
                 total, mark = total + n, _mark(mark, doc, n)
         part = TaskContext.get().partitionId()
         yield pa.record_batch(
