@@ -11,7 +11,9 @@ shard has at most ``shard_rows`` rows, the proven bound under which it is sent t
 are as many shards as the model needs, and each gives partial sums per document that are added up.
 Inside a task every distinct five-gram of a chunk is looked up once.
 
-Per language, a document above the ``quantile`` of the trusted documents' perplexity is rejected.
+Trusted documents are scored by models without their own fold, all others by the whole model. A
+document above the ``quantile`` of the trusted documents of its language is rejected; what few
+documents cannot tell is taken from all languages (``thresholds``).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanwatch.llm.common import settle, small
@@ -35,7 +37,9 @@ ALPHABET = (1 << SYMBOL_BITS) - 2
 CHUNK_CHARS = 400_000
 SHARD_ROWS = 1_500_000
 QUANTILE = 0.998
-LEAST_TRUSTED = 50
+FOLDS = 2
+NEAR = 20  # documents at which a median of its own counts as much as the one it is shrunk to
+CLASSES = 1  # of length
 STEPS = 1_000  # of log2 perplexity, per bit
 
 
@@ -131,13 +135,17 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def train(texts: DataFrame, alphabet: list[int]) -> DataFrame:
-    """The model: ``length, key, p, rest``.
+    """The model of the column ``text``."""
+    return model_of(settle(count_grams(texts, alphabet), "kn-counts"))
+
+
+def model_of(counts: DataFrame) -> DataFrame:
+    """The model of the five-grams ``key, n``: ``length, key, p, rest``.
 
     ``p`` is the interpolated probability of the last symbol of a gram of that length after the
     others; ``rest`` is the mass that a gram, as a context, leaves to the next shorter order (null
     if it never was one). Length 0 is the empty context.
     """
-    counts = settle(count_grams(texts, alphabet), "kn-counts")
     levels = {ORDER: counts}
     for length in range(ORDER - 1, 0, -1):
         # Distinct symbols to the left, the continuation count.
@@ -303,25 +311,100 @@ def _scorer(sent, alphabet: list[int]):
     return run
 
 
-def thresholds(scores: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """``lang, limit_bits``: per language, and as null language for all others, of trusted documents.
+def _fold() -> Column:
+    """By text, so that copies of a text are never in the counts it is scored by."""
+    return F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
+def score_held_out(
+    documents: DataFrame, trusted: DataFrame, texts: DataFrame, alphabet: list[int], shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """As ``score``; trusted documents by the ``texts`` of the other folds, all others by all of them."""
+    counts = [settle(count_grams(texts.filter(_fold() == k), alphabet), "kn-counts") for k in range(FOLDS)]
+
+    def model(folds: list[int]) -> DataFrame:
+        whole = counts[folds[0]]
+        for k in folds[1:]:
+            whole = whole.unionByName(counts[k])
+        if len(folds) > 1:
+            whole = settle(whole.groupBy("key").agg(F.sum("n").alias("n")), "kn-counts")
+        return model_of(whole)
+
+    known = small(trusted)
+    found = score(documents.join(known, documents["doc_id"] == known["doc_id"], "left_anti"), model([*range(FOLDS)]), alphabet, shard_rows)
+    mine = documents.join(known, documents["doc_id"] == known["doc_id"], "left_semi")
+    for k in range(FOLDS):
+        others = model([j for j in range(FOLDS) if j != k])
+        found = found.unionByName(score(mine.filter(_fold() == k), others, alphabet, shard_rows))
+    return found
+
+
+def length_class() -> Column:
+    """Class of ``n_symbols``, by powers of two."""
+    return F.least(F.floor(F.log2(F.greatest("n_symbols", F.lit(1)))), F.lit(CLASSES - 1)).cast("int")
 
-    Scores are counted in steps of 1/1000 bit, so no language's scores are sorted or gathered. A
-    language with fewer than ``LEAST_TRUSTED`` trusted documents takes the limit of all languages.
+
+def _chain(rows: DataFrame, start: float | None = None) -> list[float]:
+    """By class the median of ``x``, shrunk to that of the next shorter class; at most ``CLASSES`` rows come here."""
+    found = {r["class"]: r for r in rows.groupBy("class").agg(_percentile("x", 0.5), F.sum("n").alias("n")).collect()}
+    held, out = found[min(found)]["x"] if start is None else start, []
+    for k in range(CLASSES):
+        if k in found:
+            held = (found[k]["n"] * found[k]["x"] + NEAR * held) / (found[k]["n"] + NEAR)
+        out.append(float(held))
+    return out
+
+
+def _percentile(name: str, share: float) -> Column:
+    """Of a column with counts ``n``; its state is one entry per value, combined before the shuffle."""
+    return F.percentile(name, share, F.col("n")).alias(name)
+
+
+def _shrunk(own: str, n: str, to: Column, weight: float) -> Column:
+    count = F.coalesce(n, F.lit(0))
+    return (count * F.coalesce(own, F.lit(0)) + weight * to) / (count + weight)
+
+
+def thresholds(scores: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """``lang, class, limit_bits``: per language and class of length, and as null language for all others.
+
+    One rule for every number of trusted documents: the limit is a centre (the class's median, the
+    language's distance from it, and that of language and class) and, above it, a number of scatters
+    (the class's median distance from the centre). That number is the quantile over all trusted
+    documents, to which a language and class's own is shrunk by count, 1 / (1 - quantile) documents
+    weighing as much. Medians are shrunk with the weight of ``NEAR`` documents, and so is a
+    language's limit to the one of all languages. Scores are counted in steps of 1/1000 bit, so no
+    language's scores are sorted or gathered.
     """
-    step = F.floor(F.col("bits") * STEPS)
-    mine = scores.filter("bits IS NOT NULL").join(trusted, "doc_id", "left_semi").select("lang", step.alias("step"))
-    counts = settle(mine.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n")), "kn-steps")
-    both = counts.withColumn("every", F.lit(False)).unionByName(
-        counts.groupBy("step").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "step", "n", F.lit(True).alias("every"))
-    )
-    by = Window.partitionBy("every", "lang")
-    ranked = both.withColumn("through", F.sum("n").over(by.orderBy("step"))).withColumn("all", F.sum("n").over(by))
-    at = ranked.filter(F.col("through") >= F.col("all") * quantile).groupBy("every", "lang").agg(
-        F.min("step").alias("step"), F.max("all").alias("all")
+    step = F.round(F.col("bits") * STEPS).cast("long")
+    mine = scores.filter("bits IS NOT NULL").join(trusted, "doc_id", "left_semi")
+    mine = mine.select("lang", length_class().alias("class"), step.alias("step"))
+    counts = settle(mine.groupBy("lang", "class", "step").agg(F.count(F.lit(1)).alias("n")), "kn-steps")
+    of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("class") + 1)
+    centre = of(_chain(counts.withColumn("x", F.col("step"))))
+    apart = counts.withColumn("apart", F.col("step") - centre)
+    langs = apart.filter("lang IS NOT NULL").withColumn("off", F.col("apart")).groupBy("lang")
+    langs = F.broadcast(settle(langs.agg(_percentile("off", 0.5), F.sum("n").alias("n_lang")), "kn-langs"))
+    cells = apart.join(langs, "lang").withColumn("cell", F.col("apart") - F.col("off")).groupBy("lang", "class")
+    cells = cells.agg(_percentile("cell", 0.5), F.sum("n").alias("n_cell"))
+    cells = cells.withColumn("cell", _shrunk("cell", "n_cell", F.lit(0), NEAR))
+    cells = F.broadcast(settle(cells, "kn-cells"))
+    rest = F.col("apart") - F.coalesce("off", F.lit(0)) - F.coalesce("cell", F.lit(0))
+    rest = settle(apart.join(langs, "lang", "left").join(cells, ["lang", "class"], "left").withColumn("rest", rest), "kn-rest")
+    wide = rest.withColumn("x", F.abs("rest"))
+    scatter = of([max(x, 1.0) for x in _chain(wide, wide.agg(_percentile("x", 0.5)).first()["x"])])
+    tails = rest.withColumn("tail", F.col("rest") / scatter).withColumn("all", F.col("apart") / scatter)
+    tail, every = tails.agg(_percentile("tail", quantile), _percentile("all", quantile)).first()
+    own = tails.filter("lang IS NOT NULL").groupBy("lang", "class").agg(_percentile("tail", quantile))
+    classes = scores.sparkSession.range(CLASSES).select(F.col("id").cast("int").alias("class"))
+    limit_all = centre + scatter * every
+    whole = langs.crossJoin(classes).join(cells, ["lang", "class"], "left").join(own, ["lang", "class"], "left")
+    tail = _shrunk("tail", "n_cell", F.lit(tail), 1 / (1 - quantile) if quantile < 1 else 1)
+    whole = whole.withColumn("limit", centre + F.col("off") + F.coalesce("cell", F.lit(0)) + scatter * tail)
+    bits = lambda limit: ((limit + 1) / STEPS).alias("limit_bits")
+    return whole.select("lang", "class", bits(_shrunk("limit", "n_lang", limit_all, NEAR))).unionByName(
+        classes.select(F.lit(None).cast("string").alias("lang"), "class", bits(limit_all))
     )
-    limit = ((F.col("step") + 1) / STEPS).alias("limit_bits")
-    return at.filter(F.col("every") | (F.col("lang").isNotNull() & (F.col("all") >= LEAST_TRUSTED))).select("lang", limit)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -354,12 +437,13 @@ def classify(
             F.lit(None).cast("double").alias("limit_bits"),
             F.coalesce(F.length("text") > 0, F.lit(False)).alias("kept"),
         )
-    scores = settle(score(documents, train(texts, alphabet), alphabet, shard_rows), "kn-scores")
-    limits = thresholds(scores, trusted, quantile)
-    overall = limits.filter("lang IS NULL").first()["limit_bits"]
-    own = limits.filter("lang IS NOT NULL").select(F.col("lang").alias("__lang"), "limit_bits")
-    limit = F.coalesce("limit_bits", F.lit(overall))
-    return scores.join(small(own), F.col("lang") == F.col("__lang"), "left").select(
+    scores = settle(score_held_out(documents, trusted, texts, alphabet, shard_rows), "kn-scores")
+    limits = settle(thresholds(scores, trusted, quantile), "kn-limits")
+    every = {r["class"]: r["limit_bits"] for r in limits.filter("lang IS NULL").collect()}
+    every = F.element_at(F.array(*[F.lit(every[k]) for k in range(CLASSES)]), length_class() + 1)
+    own = limits.filter("lang IS NOT NULL").select(F.col("lang").alias("__lang"), F.col("class").alias("__class"), "limit_bits")
+    limit = F.coalesce("limit_bits", every)
+    return scores.join(small(own), (F.col("lang") == F.col("__lang")) & (length_class() == F.col("__class")), "left").select(
         "doc_id",
         "lang",
         "n_symbols",

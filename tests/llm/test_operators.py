@@ -351,6 +351,28 @@ def test_classify(spark):
     assert kneser_ney.classify(df.limit(0), labels).count() == 0
 
 
+def _letters(draw, seed):
+    """A language of its own: forty invented words."""
+    own = random.Random(seed)
+    words = ["".join(own.choices("abcdefghijklmnopqrstuvwxyz", k=own.randint(3, 8))) for _ in range(40)]
+    return lambda n: " ".join(draw.choices(words, k=n))
+
+
+def test_few_trusted_documents_do_not_reject_unseen_ones(spark):
+    draw = random.Random(6)
+    rows = []
+    for lang, seed, n in (("xx", 1, 300), ("yy", 2, 160)):
+        say = _letters(draw, seed)
+        rows += [(len(rows) + k, say(60), lang) for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for few in (20, 60):
+        trusted = [*range(200), *range(300, 300 + few)]
+        labels = spark.createDataFrame([(k, 1, 0) for k in trusted], "doc_id long, quality int, toxic int")
+        found = kneser_ney.classify(df, labels).collect()
+        unseen = [r["kept"] for r in found if r["lang"] == "yy" and r["doc_id"] not in trusted]
+        assert sum(unseen) >= 0.95 * len(unseen)
+
+
 # --- boosted trees
 
 
