@@ -12,7 +12,7 @@ are as many shards as the model needs, and each gives partial sums per document
 Inside a task every distinct five-gram of a chunk is looked up once.
 
 Trusted documents are scored by models without their own fold, all others by the whole model. A
-document above the ``quantile`` of the trusted documents of its language is rejected; what few
+document above the ``quantile`` of the trusted documents of its language and length is rejected; what few
 documents cannot tell is taken from all languages (``thresholds``).
 """
 
@@ -39,7 +39,7 @@ SHARD_ROWS = 1_500_000
 QUANTILE = 0.998
 FOLDS = 2
 NEAR = 20  # documents at which a median of its own counts as much as the one it is shrunk to
-CLASSES = 1  # of length
+CLASSES = 21  # of length, by powers of two; the last is open
 STEPS = 1_000  # of log2 perplexity, per bit
 
 

@@ -373,6 +373,15 @@ def test_few_trusted_documents_do_not_reject_unseen_ones(spark):
         assert sum(unseen) >= 0.95 * len(unseen)
 
 
+def test_short_documents_do_not_set_the_limit_of_long_ones(spark):
+    scores = [(k, "en", 400 + k % 90, 2.3 + 0.001 * (k % 100)) for k in range(1_000)]
+    scores += [(k, "en", 5, 2.0 + 0.02 * (k % 100)) for k in range(1_000, 1_200)]
+    df = spark.createDataFrame(scores, "doc_id long, lang string, n_symbols long, bits double")
+    limits = kneser_ney.thresholds(df, df.select("doc_id")).filter("lang = 'en'")
+    by = {r["class"]: r["limit_bits"] for r in limits.collect()}
+    assert 2.38 <= by[8] <= 2.6 and by[2] >= 3.8
+
+
 # --- boosted trees
 
 

@@ -152,6 +152,14 @@ def test_op1(spark, con, documents):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.3 * len(bad)
 
 
+def test_op1_long_junk(spark, con, documents):
+    """Runs of one repeated word have low perplexity for a short text, not for one of their length."""
+    rows = {r["doc_id"]: r for r in QUERIES["op1_kneser_ney"](spark, SF_DIR).collect()}
+    labels = con.execute("SELECT doc_id, quality FROM labels").fetchall()
+    bad = [rows[i]["kept"] for i, q in labels if q == 0]
+    assert sum(bad) <= 0.1 * len(bad)
+
+
 def _tiling(item, text, tile):
     """Greedy tiling by comparing all stretches; returns the number of covered tokens."""
     a, b, total = [True] * len(item), [True] * len(text), 0
