@@ -99,7 +99,7 @@ def parse(page: str | None) -> Part:
     at = 0
 
     def add_text(raw: str) -> None:
-        if raw and not raw.isspace():
+        if raw:
             stack[-1].parts.append(Part("#", text=raw))
 
     while True:
@@ -169,11 +169,11 @@ def _boiler(label: str) -> bool:
 
 
 def as_wrapper(part: Part) -> Part:
-    """A page as the wrapper of itself: fixed texts only, repetitions folded."""
+    """A page as the wrapper of itself: fixed texts only, repetitions folded, white space left out."""
     if part.label == "#":
         n = len(part.text)
         return Part("#", fixed=xxhash.xxh64_intdigest(part.text.strip()), chars=n)
-    out = Part(part.label, parts=fold([as_wrapper(p) for p in part.parts]))
+    out = Part(part.label, parts=fold([as_wrapper(p) for p in part.parts if p.label != "#" or not p.text.isspace()]))
     return _summed(out)
 
 
@@ -327,9 +327,10 @@ def blocks_of(parts: list[Part]) -> list[str]:
     held: list[str] = []
 
     def flush() -> None:
+        blank = all(t.isspace() for t in held)
         text = _BLANKS.sub(" ", entities.unescape("".join(held))).strip(" ")
         held.clear()
-        if text:
+        if text and not blank:
             out.append(text)
 
     def visit(part: Part) -> None:

@@ -461,6 +461,12 @@ def test_main_text(spark):
     assert html_wrappers.main_text(pages.limit(0)).count() == 0
 
 
+def test_white_space_between_inline_elements():
+    text = lambda page: html_wrappers.extract(page, None)
+    assert text("<p><b>a</b> <i>b</i></p>") == "a b"
+    assert text("<article>\n<p>\n<a>x</a>\n<a>y</a></p>\n<p>c<b>d</b></p> </article>") == "x y\ncd"
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/abpli \"'=!-&;\n", max_size=80))
 def test_any_page(page):
