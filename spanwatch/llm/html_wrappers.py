@@ -66,6 +66,12 @@ NOT_TEXT_NAMES = set(
     "overlay share sharing social related recommended promo promoted sponsor sponsored newsletter subscribe signup "
     "login search pagination pager toolbar widget contentinfo complementary".split()
 )
+# What may stand beside those in a compound name ("site-footer", "comment-list"); others ("has-sidebar") mark nothing.
+BESIDE = set(
+    "0 site page main primary secondary left right top bottom inner outer box list area container wrapper wrap block "
+    "section slot unit bar links link buttons button icons form posts articles items item header title text body "
+    "global mobile desktop fixed sticky post entry google by".split()
+)
 MAIN_TAGS = ("article", "main")
 MAIN_NAMES = set("articlebody main-content post-content entry-content article-body".split())
 
@@ -161,11 +167,21 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted({_DIGITS.sub("0", n.replace(".", "-")) for n in names})])
 
 
-def _boiler(label: str) -> bool:
+def _boiler(label: str, marks: bool = True) -> bool:
+    """Whether an element is no main text; without ``marks`` by what it is, not by names or as a form."""
     tag, *names = label.split(".")
-    if tag in NOT_TEXT:
+    if tag in ("html", "body"):
+        return False
+    if tag in NOT_TEXT and (marks or tag != "form"):
+        return True
+    return marks and any(_marks_boiler(n) for n in names)
+
+
+def _marks_boiler(name: str) -> bool:
+    if name in NOT_TEXT_NAMES:
         return True
-    return any(n in NOT_TEXT_NAMES or not NOT_TEXT_NAMES.isdisjoint(re.split(r"[-_]", n)) for n in names)
+    words = [w for w in re.split(r"[-_]", name) if w]
+    return not NOT_TEXT_NAMES.isdisjoint(words) and all(w in NOT_TEXT_NAMES or w in BESIDE for w in words)
 
 
 def as_wrapper(part: Part) -> Part:
@@ -281,31 +297,45 @@ def _is_main(label: str) -> bool:
 def main_path(wrapper: Part) -> list[str]:
     """Labels from the root to the element with the main text.
 
-    That is the outermost main element with the most text, narrowed to one inside it that holds
-    most of that; without one, the element reached by following the child with over 60% of the
-    slot text (of all text, if a host has one page only), parts that cannot be main text left out.
+    That is the outermost main element with the most text, narrowed to an article inside it that
+    holds at least half of that, never to a part of an article; main elements inside elements marked
+    as boilerplate are looked for if there is no other. Without any, it is the element reached by
+    following the child with over 60% of the slot text (of all text, if a host has one page only).
+    Parts that cannot be main text are left out, unless a mere name or form holds over 60% of all text.
     """
     found: list[tuple[int, list[str]]] = []
 
-    def visit(part: Part, path: list[str]) -> None:
+    def visit(part: Part, path: list[str], marks: bool) -> None:
         for p in part.parts:
             if p.label == "*":
-                visit(p, path)
-            elif p.label != "#" and not _boiler(p.label):
+                visit(p, path, marks)
+            elif p.label != "#" and not _boiler(p.label, marks):
                 own = [*path, p.label]
                 if _is_main(p.label):
                     found.append((p.chars, own))
-                visit(p, own)
+                visit(p, own, marks)
 
-    visit(wrapper, [])
+    visit(wrapper, [], True)
+    if not found:
+        visit(wrapper, [], False)
     if found:
-        best = max(chars for chars, _ in found)
-        return max((path for chars, path in found if chars >= 0.5 * best), key=len)
+        outer = [(chars, path) for chars, path in found if not any(_is_main(x) for x in path[:-1])]
+        best, path = max(outer, key=lambda x: x[0])
+        if path[-1].partition(".")[0] != "article":
+            inside = [
+                (chars, own)
+                for chars, own in found
+                if own[: len(path)] == path and [x.partition(".")[0] for x in own[len(path) :]].count("article") == 1
+                and own[-1].partition(".")[0] == "article" and 2 * chars >= best
+            ]
+            path = max(inside, key=lambda x: x[0], default=(best, path))[1]
+        return path
     path: list[str] = []
     here, mass = wrapper, (lambda p: p.slot_chars) if wrapper.slot_chars else (lambda p: p.chars)
+    most = 0.6 * mass(wrapper)
     while True:
         inside = [q for p in here.parts for q in (p.parts if p.label == "*" else [p])]
-        inside = [p for p in inside if p.label != "#" and not _boiler(p.label)]
+        inside = [p for p in inside if p.label != "#" and not _boiler(p.label, mass(p) <= most)]
         top = max(inside, key=mass, default=None)
         total = sum(mass(p) for p in inside)
         if top is None or top.repeated or not total or mass(top) <= 0.6 * total or _tag(top) == "p":

@@ -467,6 +467,19 @@ def test_white_space_between_inline_elements():
     assert text("<article>\n<p>\n<a>x</a>\n<a>y</a></p>\n<p>c<b>d</b></p> </article>") == "x y\ncd"
 
 
+def test_whole_article_of_common_blog_pages():
+    text = lambda page: html_wrappers.extract(page, html_wrappers.main_path(html_wrappers.as_wrapper(html_wrappers.parse(page))))
+    body = "<p>" + "long text " * 20 + "</p>"
+    whole = "T\nlead\n" + ("long text " * 20).strip()
+    article = f'<article><h1>T</h1><p>lead</p><div class="entry-content">{body}</div></article>'
+    for name in ("has-sidebar", "no-sidebar", "comments-open", "sidebar", "single nav"):
+        assert text(f'<html><body class="{name}"><nav>Home</nav>{article}<div class="site-footer">x</div></body></html>') == whole
+    assert text(f"<main><p>aside</p>{article}</main>") == whole
+    assert text(f'<div class="sidebar"><p>x</p>{article}</div><p>y</p>') == whole
+    assert text(f'<form><div class="related">{body}</div></form><p>y</p>') == ("long text " * 20).strip()
+    assert text('<article><p>a</p><div class="comment-list">b</div><p>c</p></article>') == "a\nc"
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="<>/abpli \"'=!-&;\n", max_size=80))
 def test_any_page(page):
