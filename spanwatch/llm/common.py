@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,4 +39,30 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-__all__ = ["BROADCAST_ROWS", "WORD", "lower_ascii", "settle", "small", "table", "word_count"]
+def remembered(most: int | None = None) -> Callable:
+    """Results of a function by its arguments; emptied when it holds ``most``. Travels with tasks."""
+
+    def wrap(function: Callable) -> Callable:
+        known: dict = {}
+
+        def call(*args):
+            if args not in known:
+                if most and len(known) >= most:
+                    known.clear()
+                known[args] = function(*args)
+            return known[args]
+
+        return call
+
+    return wrap
+
+
+def kept_in_worker(name: str, key: object, make: Callable):
+    """A value that a worker process keeps from task to task, as long as ``key`` is the same."""
+    held = vars(sys.modules.setdefault("spanwatch_kept", ModuleType("spanwatch_kept")))
+    if name not in held or held[name][0] != key:
+        held[name] = key, make()
+    return held[name][1]
+
+
+__all__ = ["BROADCAST_ROWS", "WORD", "kept_in_worker", "lower_ascii", "remembered", "settle", "small", "table", "word_count"]

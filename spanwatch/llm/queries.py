@@ -7,12 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanwatch.llm import boosted_rules, entropy_mix, feistel_shards, html_wrappers, kneser_ney, preference_format, simhash_gray, string_tiling, url_rules, warc_revisits
+from spanwatch.llm import boosted_rules, conversation_repair, entropy_mix, feistel_shards, html_wrappers, kneser_ney, piece_bpe, preference_format, simhash_gray, string_tiling, token_alignment, url_rules, warc_revisits
 from spanwatch.llm.common import table
 from spanwatch.sources.stages import stage_folder
 
 # Rank file of a public byte-level vocabulary for many languages.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+# A byte-level vocabulary with merges, and a piece model.
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 PATH_RULES = [
     ("org", "/", "allow"),
@@ -111,6 +114,21 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.alignments(table(spark, sf_dir, "documents"), BYTE_LEVEL, PIECES)
+    hashed = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", hashed).drop("groups")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.summary(conversation_repair.repair(damaged))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,5 +142,8 @@ QUERIES = {
         op8_html_wrappers,
         op9_preference_format,
         op10_string_tiling,
+        op11_piece_bpe,
+        op12_token_alignment,
+        op13_conversation_repair,
     )
 }
