@@ -177,14 +177,19 @@ class PieceModel:
                 longest[start] = piece
         failed = bytearray(size // 8 + 1)
         out: list[str] = []
-        at, piece, shorter = 0, longest[0], self.shorter
+        at, piece, left, shorter, agree = 0, longest[0], "", self.shorter, self.agree
         while True:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.agrees(out[-1], piece)):
+            fits = not failed[end >> 3] >> (end & 7) & 1
+            if fits and left:
+                fits = agree.get((left, piece))
+                if fits is None:
+                    fits = self.agrees(left, piece)
+            if fits:
                 out.append(piece)
                 if end == size:
                     return out
-                at, piece = end, longest[end]
+                at, left, piece = end, piece, longest[end]
             elif len(piece) > 1:
                 piece = shorter[piece]
             else:
@@ -194,12 +199,18 @@ class PieceModel:
                     piece = out.pop()
                     at -= len(piece)
                     if len(piece) > 1:
-                        piece = shorter[piece]
+                        left, piece = out[-1] if out else "", shorter[piece]
                         break
 
+    def ids_of(self, pieces: list[str]) -> list[int]:
+        """Ids of pieces, or of the bytes of characters without one."""
+        ids = list(map(self.ids.get, pieces))
+        if None in ids:
+            ids = [i for p, own in zip(pieces, ids) for i in ([own] if own is not None else map(self.byte_ids.get, p.encode()))]
+        return ids
+
     def _coded(self, piece: str) -> bytes:
-        found = self.ids.get(piece)
-        return np.array([found] if found is not None else [self.byte_ids[b] for b in piece.encode()], np.int32).tobytes()
+        return np.array(self.ids_of([piece]), np.int32).tobytes()
 
     def _part(self, part: str) -> bytes:
         return b"".join(map(self.coded.__getitem__, self.walk(part)))

@@ -26,6 +26,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from pathlib import Path
 from typing import NamedTuple
 
@@ -92,6 +93,8 @@ class Pair:
         self.a, self.a_bytes = _byte_level(json.loads(byte_level))
         self.b = PieceModel(pieces)
         self.b_bytes = self.b.bytes
+        self.a_length, self.b_length = ([len(t) for t in side] for side in (self.a_bytes, self.b_bytes))
+        self.shift = len(self.b_bytes)
         if not all(a.isascii() or not is_letter(a) or is_letter(b) for p in self.b.scores for a, b in zip(p, p[1:])):
             raise ValueError("pieces hold a letter before another sign")
         if any(b == BLANK != a for p in self.b.scores for a, b in zip(p, p[1:])):
@@ -104,10 +107,6 @@ class Pair:
         self.odd_parts = re.compile(f"(?:[{inner}]*[^{inner}]+)(?=[{blank}])|.+", re.DOTALL).findall
         self.known = Known(self._align)
 
-    @property
-    def shift(self) -> int:
-        return len(self.b_bytes)
-
     def split(self, text: str) -> list[str]:
         """Parts of blank + text, for a text that is not empty."""
         return (self.odd_parts if self.odd(text) else self.parts)(" " + text)
@@ -115,23 +114,24 @@ class Pair:
     def _align(self, part: str) -> Aligned:
         # A part is the beginning of its own text: the blank in front is of the part, or none is there.
         data = part.encode()
-        a = self.a.encode_ordinary(part)
-        b = np.frombuffer(
-            b"".join(map(self.b.known.__getitem__, self.b.parts(part.replace(" ", BLANK)))), np.int32
-        ).tolist()
-        if b"".join(self.a_bytes[i] for i in a) != data or b"".join(self.b_bytes[i] for i in b) != data:
+        a, b = self.a.encode_ordinary(part), []
+        for own in self.b.parts(part.replace(" ", BLANK)):
+            b += self.b.ids_of(self.b.walk(own))
+        whole = lambda ids, of: b"".join(map(of.__getitem__, ids)) == data
+        if not (whole(a, self.a_bytes) and whole(b, self.b_bytes)):
             return Aligned("", 0, 0, NOTHING, False)
-        groups, keys, i, j, at_a, at_b, first_a, first_b = [], [], 0, 0, 0, 0, 0, 0
-        while i < len(a):
-            at_a += len(self.a_bytes[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(self.b_bytes[b[j]])
-                j += 1
-            if at_a == at_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                keys.append(a[i - 1] * self.shift + b[j - 1])
-                first_a, first_b = i, j
+        ends_a = list(accumulate(map(self.a_length.__getitem__, a)))
+        ends_b = list(accumulate(map(self.b_length.__getitem__, b)))
+        at_b = {end: j for j, end in enumerate(ends_b, 1)}
+        groups, keys, i, j = [], [], 0, 0
+        for k, end in enumerate(ends_a, 1):
+            n = at_b.get(end)
+            if n:
+                one = a[i] if k == i + 1 else ",".join(map(str, a[i:k]))
+                other = b[j] if n == j + 1 else ",".join(map(str, b[j:n]))
+                groups.append(f"{one}|{other}")
+                keys.append(a[k - 1] * self.shift + b[n - 1])
+                i, j = k, n
         return Aligned(";".join(groups), len(a), len(b), np.array(keys, np.int64), True)
 
     def align(self, text: str | None) -> list[Aligned]:
@@ -227,7 +227,7 @@ def _vectors(documents: DataFrame, sent) -> DataFrame:
                     continue
                 found = pair.split(text)
                 # A part that was counted before is of a text that was whole.
-                if all(pair.known[p].whole for p in set(found).difference(parts)):
+                if all(pair.known[p].whole for p in set(found) if p not in parts):
                     parts.update(found)
                 if len(parts) >= COUNTED:
                     add()
