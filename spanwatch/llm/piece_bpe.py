@@ -38,7 +38,7 @@ from sentencepiece import sentencepiece_model_pb2
 from spanwatch.llm.common import kept_in_worker
 
 KEPT = 150_000  # parts remembered by a task
-KEPT_PAIRS = 600_000  # pairs of neighbours remembered by a task
+KEPT_PAIRS = 400_000  # pairs of neighbours remembered by a task
 KEPT_LENGTH = 64  # of characters: longer parts are not remembered
 SENT_BYTES = 4_000_000  # of text in one batch of results
 
@@ -68,11 +68,11 @@ def letters() -> str:
 
 
 class Known(dict):
-    """Results by part of a text, made on demand; the last ``KEPT`` parts met are there, at most twice as many."""
+    """Results by part of a text, made on demand; the last ``most`` parts met are there, at most twice as many."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
         self.before: dict = {}
 
     def __missing__(self, part: str):
@@ -80,7 +80,7 @@ class Known(dict):
         if value is None:
             value = self.make(part)
         if len(part) <= KEPT_LENGTH:
-            if len(self) >= KEPT:
+            if len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[part] = value
@@ -117,8 +117,8 @@ class PieceModel:
         if valid:
             self.automaton.make_automaton()
         self.parts = re.compile(self._cutter(valid), re.DOTALL).findall
-        self.coded = Known(self._coded)
-        self.known = Known(self._part)
+        self.coded = Known(self._coded, KEPT)
+        self.known = Known(self._part, KEPT)
 
     def _bytes(self, piece) -> bytes:
         if piece.type == BYTE:
@@ -274,12 +274,12 @@ def loaded(model: bytes) -> PieceModel:
     return kept_in_worker("pieces", model, lambda: PieceModel(model))
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about ``SENT_BYTES`` of text; a longer text is a part of its own."""
+def slices(batch: pa.RecordBatch, text: str, most: int = SENT_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` bytes of text; a longer text is a part of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
-        if held and held + size > SENT_BYTES:
+        if held and held + size > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size

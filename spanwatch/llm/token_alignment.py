@@ -37,13 +37,15 @@ from pyspark.sql import DataFrame
 
 from spanwatch.llm.bpe import PATTERN
 from spanwatch.llm.common import kept_in_worker, settle
-from spanwatch.llm.piece_bpe import BLANK, KEPT, Known, PieceModel, is_letter, letters, slices
+from spanwatch.llm.piece_bpe import BLANK, Known, PieceModel, is_letter, letters, slices
 from spanwatch.sources.stages import stage_folder
 
 FAN_IN = 32
 GAMMA = 2  # places of a level for each key that reaches it
 LEAST = 64  # places of a level
-COUNTED = 100_000  # distinct parts that a task counts before it turns them into pairs
+SENT_BYTES = 1_500_000  # of text in one batch of results
+KEPT = 100_000  # parts remembered by a task
+COUNTED = 75_000  # distinct parts that a task counts before it turns them into pairs
 
 # Characters that are a blank for some rules, but not plainly for all.
 ODD_BLANKS = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
@@ -55,7 +57,7 @@ class Aligned(NamedTuple):
     groups: str  # "a1,a2|b1;a3|b2,b3"
     n_a: int
     n_b: int
-    keys: np.ndarray  # of the links, one for each group
+    keys: bytes  # of the links, eight for each group
     whole: bool  # both vocabularies give the part's bytes back
 
 
@@ -105,7 +107,7 @@ class Pair:
         # Without a letter's end as a cut, and a run of blanks of any kind in one part.
         inner = f"{blank}\t\r{ODD_BLANKS}{BLANK}"
         self.odd_parts = re.compile(f"(?:[{inner}]*[^{inner}]+)(?=[{blank}])|.+", re.DOTALL).findall
-        self.known = Known(self._align)
+        self.known = Known(self._align, KEPT)
 
     def split(self, text: str) -> list[str]:
         """Parts of blank + text, for a text that is not empty."""
@@ -119,7 +121,7 @@ class Pair:
             b += self.b.ids_of(self.b.walk(own))
         whole = lambda ids, of: b"".join(map(of.__getitem__, ids)) == data
         if not (whole(a, self.a_bytes) and whole(b, self.b_bytes)):
-            return Aligned("", 0, 0, NOTHING, False)
+            return Aligned("", 0, 0, b"", False)
         ends_a = list(accumulate(map(self.a_length.__getitem__, a)))
         ends_b = list(accumulate(map(self.b_length.__getitem__, b)))
         at_b = {end: j for j, end in enumerate(ends_b, 1)}
@@ -132,7 +134,7 @@ class Pair:
                 groups.append(f"{one}|{other}")
                 keys.append(a[k - 1] * self.shift + b[n - 1])
                 i, j = k, n
-        return Aligned(";".join(groups), len(a), len(b), np.array(keys, np.int64), True)
+        return Aligned(";".join(groups), len(a), len(b), np.array(keys, np.int64).tobytes(), True)
 
     def align(self, text: str | None) -> list[Aligned]:
         """The parts of a text; none for null, the empty text, and one that is not given back whole."""
@@ -216,9 +218,9 @@ def _vectors(documents: DataFrame, sent) -> DataFrame:
             nonlocal keys, counts
             found = [(pair.known[p].keys, n) for p, n in parts.items()]
             parts.clear()
-            held = [keys, *(k for k, _ in found)]
-            times = [counts, np.repeat([n for _, n in found], [len(k) for k, _ in found])]
-            keys, counts = _summed(np.concatenate(held), np.concatenate(times).astype(np.int64))
+            new = np.frombuffer(b"".join([k for k, _ in found]), np.int64)
+            times = np.repeat(np.array([n for _, n in found], np.int64), [len(k) // 8 for k, _ in found])
+            keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, times]))
 
         for batch in batches:
             for text in batch.column(0):
@@ -343,33 +345,22 @@ def align_documents(documents: DataFrame, counts: Counts, byte_level: str, piece
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, (levels, keys, counts, best) = loaded(*sent.value), table.value
         index, padded = PerfectHash(levels, keys), (np.append(counts, 0), np.append(best, False))
-        place: dict[str, int] = {}  # of a part in the rows below
-        rows, groups = np.zeros((0, 7), np.int64), []
-
-        def judge(parts: list[str]) -> None:
-            """Rows of new parts; their links are looked up together."""
-            nonlocal rows
-            if len(place) > KEPT:
-                place.clear()
-                groups.clear()
-                rows = rows[:0]
-            new = [p for p in dict.fromkeys(parts) if p not in place]
-            found = [pair.known[p] for p in new]
-            links = np.array([len(f.keys) for f in found], np.int64)
-            at = index.find(np.concatenate([NOTHING, *(f.keys for f in found)]))
-            ends = np.cumsum(links)
-            of_part = lambda values: np.diff(np.append(0, np.cumsum(values))[np.append(0, ends)])
-            own = [[f.n_a, f.n_b, f.whole] for f in found]
-            own = np.array(own, np.int64).reshape(-1, 3)
-            more = [own[:, 0], own[:, 1], links, links, of_part(padded[1][at]), of_part(padded[0][at]), own[:, 2]]
-            place.update(zip(new, range(len(place), len(place) + len(new))))
-            groups.extend(f.groups for f in found)
-            rows = np.concatenate([rows, np.stack(more, 1)])
+
+        def judged(parts: list[str]) -> tuple[dict[str, int], np.ndarray, list[str]]:
+            """Place of each part in rows of numbers and in texts; all links are looked up together."""
+            found = [pair.known[p] for p in parts]
+            links = np.array([len(f.keys) // 8 for f in found], np.int64)
+            at = index.find(np.frombuffer(b"".join([f.keys for f in found]), np.int64))
+            ends = np.append(0, np.cumsum(links))
+            of_part = lambda values: np.diff(np.append(0, np.cumsum(values))[ends])
+            own = np.array([(f.n_a, f.n_b, f.whole) for f in found], np.int64).reshape(-1, 3)
+            rows = [own[:, 0], own[:, 1], links, links, of_part(padded[1][at]), of_part(padded[0][at]), own[:, 2]]
+            return dict(zip(parts, range(len(parts)))), np.stack(rows, 1), [f.groups for f in found]
 
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SENT_BYTES):
                 split = [pair.split(t) if t else [] for t in some.column(1).to_pylist()]
-                judge([p for parts in split for p in parts])
+                place, rows, groups = judged(list({p: 0 for parts in split for p in parts}))
                 numbers, texts = [], []
                 for parts in split:
                     at = [place[p] for p in parts]
