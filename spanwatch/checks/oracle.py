@@ -542,6 +542,17 @@ ORACLE["c8_run_all"] = (
 )
 ORACLE["c8_run_status"] = """SELECT DISTINCT 'P00' || (1 + user_id % 5) AS site, strftime(ts, '%Y-%m') AS period,
   CASE WHEN user_id % 5 = 4 THEN 'no timestamp common to its families' ELSE 'done' END AS status FROM events"""
+ORACLE["c8_quarantine"] = """
+SELECT DISTINCT site, period, CASE site WHEN 'P004' THEN period || '-1' ELSE period END AS asked,
+  CASE site WHEN 'P001' THEN 'sensor id without a label: POT01_s' WHEN 'P002' THEN 'sensor id in two families: POT01_s'
+    WHEN 'P003' THEN 'registry features differ from probes: ICD01_x' ELSE 'no tmp file' END AS reason
+FROM (SELECT 'P00' || (1 + user_id % 5) AS site, strftime(ts, '%Y-%m') AS period FROM events)
+WHERE site <> 'P005'"""
+_READABLE = "family <> 'tmp' OR site <> 'P004' OR day(ts) < 10"
+ORACLE["c8_isolated_summary"] = (
+    with_(cells(*BIG_SHEET, _READABLE), FILLED, SCORED, CONTROL, levels(3.0), counts(3.0), label_rows(), SUMMARY, recursive=True)
+    + "SELECT * FROM summary WHERE site IN ('P004', 'P005')"
+)
 ORACLE["s3_file_scan"] = (
     with_(readings(*BIG_SHEET)).replace(*_FLOORED)
     + f"""SELECT site, period, family, sensor_id,

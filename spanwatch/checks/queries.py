@@ -107,8 +107,35 @@ def s3_u1_family_files(spark, sf_dir):
     return out.select(*S.SITE_KEYS, "family", "sensor_order", "sensor_id", "ts", r6("value").alias("value"))
 
 
+def _feed_files(readings, folder, values=lambda sensor, family: F.col(sensor), late_from=10, more=None):
+    """Write readings as family files: per site and month one of the days before ``late_from``, one of the others.
+
+    ``more`` gives a family further columns, made from those it has. One write for each family and part
+    of the month; the folders it makes get their names afterwards.
+    """
+    spark = readings.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    day = F.when(F.dayofmonth("ts") < late_from, "-05").otherwise("-15")
+    for family in S.FAMILIES:
+        sensors = [s for _, f, _, s in E.CHANNELS if f == family]
+        mine = readings.where(F.col("family") == family).withColumn("day", day)
+        wide = mine.groupBy(*S.SITE_KEYS, "day", F.col("ts").alias("datetime")).pivot("sensor_id", sensors).agg(F.first("value"))
+        extra = [c.alias(name) for name, c in (more or {}).get(family, {}).items()]
+        for part in ("-05", "-15"):
+            own = wide.where(F.col("day") == part)
+            columns = [values(s, family if part == "-05" else "").alias(s) for s in sensors]
+            staged = f"{folder}/staged/{family}{part}"
+            own.select(*S.SITE_KEYS, "datetime", *columns, *extra).write.partitionBy(*S.SITE_KEYS).parquet(staged)
+            for found in paths.matching(spark, [f"{staged}/site=*/period=*"]):
+                site, period = (x.partition("=")[2] for x in found.rsplit("/", 2)[1:])
+                named = jvm.org.apache.hadoop.fs.Path(f"{folder}/{family}/{site}_{period}{part}_{family}.parquet")
+                system = named.getFileSystem(conf)
+                system.mkdirs(named.getParent())
+                system.rename(jvm.org.apache.hadoop.fs.Path(found), named)
+
+
 def _family_files(spark, sf_dir):
-    """The feed as Parquet files, one folder per site, month and family, and their sources.
+    """The feed as Parquet files, two for each site, month and family, and their sources.
 
     Values of the strain family are whole numbers on the first ten days, as writers do where a day
     has no gap. P004 has no temperature; the strain of P005 is off by a minute.
@@ -117,22 +144,46 @@ def _family_files(spark, sf_dir):
     readings = stages.settle(E.readings(spark, sf_dir), "feed")
     late = (F.col("site") == "P005") & (F.col("family") == "str")
     readings = readings.withColumn("ts", F.when(late, F.col("ts") + F.expr("interval 1 minute")).otherwise(F.col("ts")))
-    pairs = readings.select("site", "period", "family").distinct().collect()
-    for site, period, family in sorted(pairs):
-        if (site, family) == ("P004", "tmp"):
-            continue
-        sensors = [s for _, f, _, s in E.CHANNELS if f == family]
-        mine = readings.where((F.col("site") == site) & (F.col("period") == period) & (F.col("family") == family))
-        wide = mine.groupBy(F.col("ts").alias("datetime")).pivot("sensor_id", sensors).agg(F.first("value"))
-        early = F.dayofmonth("datetime") <= 10
-        parts = {"": wide} if family != "str" else {"-10": wide.where(early), "-20": wide.where(~early)}
-        for day, part in parts.items():
-            if day == "-10":
-                part = part.select("datetime", *[F.floor(F.col(s)).cast("long").alias(s) for s in sensors])
-            part.coalesce(1).write.parquet(f"{folder}/{family}/{site}_{period}{day}_{family}.parquet")
+    whole = lambda sensor, family: F.floor(F.col(sensor)).cast("long") if family == "str" else F.col(sensor)
+    _feed_files(readings.where("NOT (site = 'P004' AND family = 'tmp')"), folder, whole, late_from=11)
     every = {name: f"{folder}/{family}" for name, family in S.FAMILY_FOLDERS.items()}
     some = {k: v for k, v in every.items() if k != "tmp_path"}
-    return folder, {f"P00{k}": some if k == 4 else every for k in range(1, E.SITE_COUNT + 1)}, sorted({p[1] for p in pairs})
+    periods = sorted(r["period"] for r in readings.select("period").distinct().collect())
+    return folder, {f"P00{k}": some if k == 4 else every for k in range(1, E.SITE_COUNT + 1)}, periods
+
+
+def _troubled_run(spark, sf_dir):
+    """A run in which all but one of five sites have a trouble of their own; the folder of its results.
+
+    A sensor of P001 has no label, a sensor id of P002 is in two families, a given model of P003 has a
+    probe that is not there, and P004 has no temperature file from the tenth day on.
+    """
+    folder = f"{stages.stage_folder(spark)}/spanwatch/feed-{uuid.uuid4().hex}"
+    readings = stages.settle(E.readings(spark, sf_dir), "feed")
+    kept = readings.where("NOT (site = 'P004' AND family = 'tmp' AND dayofmonth(ts) >= 10)")
+    _feed_files(kept, folder, more={"str": {"POT01_s": F.when(F.col("site") == "P002", F.col("EST01_e"))}})
+    every = {name: f"{folder}/{family}" for name, family in S.FAMILY_FOLDERS.items()}
+    sources = {f"P00{k}": every for k in range(1, E.SITE_COUNT + 1)}
+    periods = sorted(r["period"] for r in readings.select("period").distinct().collect())
+    labels = _labels(spark).where("NOT (site = 'P001' AND base_id LIKE 'POT%')")
+    registry = spark.createDataFrame([("P003", "ICD01_x", ["TMP09_t"], [0.5], 1.0)], models.REGISTRY_SCHEMA)
+    asked = [f"{period}-{tens}" for period in periods for tens in (0, 1)]
+    run.run_all(spark, sources, asked, labels, f"{folder}/out", RUN_DATE, registry=registry, chunk=E.CHUNK)
+    return f"{folder}/out"
+
+
+@query
+def c8_quarantine(spark, sf_dir):
+    """Why which site and period was left out of a run."""
+    out = stages.read_stage(spark, _troubled_run(spark, sf_dir), "quarantine")
+    return out.select(*S.SITE_KEYS, "asked", "reason")
+
+
+@query
+def c8_isolated_summary(spark, sf_dir):
+    """What a run with four troubled sites says of the others, and of the days of one that can be read."""
+    out = stages.read_stage(spark, _troubled_run(spark, sf_dir), "summary")
+    return out.select(*S.SENSOR_KEYS, "label", "warnings", "alarms")
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spanwatch import schema as S
 from spanwatch.functions import names
 from spanwatch.operators.chunks import CHUNK, bucket_start, with_chunk
+from spanwatch.sources.stages import settle
 
 # Most cells of one chunk: enough to amortise a task's overhead, few enough to sort in memory.
 MAX_CELLS = 200_000
@@ -45,7 +46,10 @@ def stamps(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
 
 
 def site_facts(stamped: DataFrame) -> DataFrame:
-    """Per site and period: the sensors that are alive and the families they belong to."""
+    """Per site and period: the sensors that are alive and the families they belong to.
+
+    ``clash`` names a sensor id that is in two families, which no sheet can hold.
+    """
     entry = F.explode_outer("entries").alias("e")
     per_sensor = (
         stamped.select(*S.SITE_KEYS, entry)
@@ -60,15 +64,20 @@ def site_facts(stamped: DataFrame) -> DataFrame:
         F.coalesce(F.bit_or("family"), F.lit(0)).alias("live_families"),
         F.array_sort(F.collect_list(sensor)).alias("sensors"),
     )
-    ids = F.col("sensors.sensor_id")
-    clash = F.size(F.array_distinct(ids)) < F.size(ids)
+    ids = F.array_sort("sensors.sensor_id")
+    twice = F.filter(ids, lambda s, i: (i > 0) & (s == F.get(ids, i - 1)))
+    return facts.withColumn("clash", F.get(twice, F.lit(0)))
+
+
+def without_clash(facts: DataFrame) -> DataFrame:
+    """Facts whose sensor ids are in one family each; the job fails on the first other ones."""
     message = F.concat_ws(" ", F.lit("sensor id in two families at"), "site", "period")
     return facts.withColumn(
-        "sensors", F.when(clash, F.raise_error(message)).otherwise(F.col("sensors"))
+        "sensors", F.when(F.col("clash").isNotNull(), F.raise_error(message)).otherwise(F.col("sensors"))
     )
 
 
-def _chunk_facts(stamped: DataFrame, max_cells: int) -> DataFrame:
+def chunk_facts(stamped: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """Chunks with the facts of their site, their rows, and in how many parts to cut them."""
     sizes = stamped.groupBy(*S.CHUNK_KEYS).agg(F.count(F.lit(1)).alias("n"))
     cells = F.col("n") * F.size("sensors")
@@ -76,6 +85,7 @@ def _chunk_facts(stamped: DataFrame, max_cells: int) -> DataFrame:
         *S.CHUNK_KEYS,
         "live_families",
         "sensors",
+        "clash",
         "n",
         F.greatest(F.lit(1), F.ceil(cells / max_cells)).alias("parts"),
     )
@@ -101,17 +111,19 @@ def _cuts(stamped: DataFrame, large: DataFrame) -> DataFrame:
     )
 
 
-def sheet(stamped: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
+def sheet(stamped: DataFrame, max_cells: int = MAX_CELLS, facts: DataFrame | None = None) -> DataFrame:
     """Timestamps at which every family of the site was sampled, with all live sensors.
 
     Same timestamps as an inner join of the families on (site, period, ts); a family without
     a live sensor at a site and period does not count. ``cells`` has one entry per live
     sensor in column order, its value NULL where missing. A chunk of more than ``max_cells``
     is cut into parts of as many rows, so that what follows has no large group whatever the
-    sampling rate, bursts included.
+    sampling rate, bursts included. ``facts`` are those of ``chunk_facts``, as a written table; chunks
+    that are not in it are left out. Without it they are found first, and a clash of ids is an error.
     """
     everything = "(families & live_families) = live_families AND size(sensors) > 0"
-    facts = _chunk_facts(stamped, max_cells)
+    if facts is None:
+        facts = settle(without_clash(chunk_facts(stamped, max_cells)), "chunk-facts")
     kept = stamped.join(facts, S.CHUNK_KEYS).where(everything)
     large = facts.where("parts > 1").select(*S.CHUNK_KEYS, "n", "parts")
     if not large.isEmpty():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanwatch import schema as S
 from spanwatch.functions import names
-from spanwatch.operators import align, dimensions, interpolate, scoring, steps, thermal
+from spanwatch.operators import align, dimensions, interpolate, quarantine, scoring, steps, thermal
 from spanwatch.operators.chunks import CHUNK
 from spanwatch.sources.stages import settle
 
@@ -25,6 +25,7 @@ class Prepared:
     features: DataFrame  # filled values with the probes of the same timestamp
     models: DataFrame  # coefficients per sensor
     control: DataFrame  # z-score per timestamp and structural sensor
+    quarantine: DataFrame | None = None  # site, period, reason of the pairs left out
 
 
 def aligned_sheet(readings: DataFrame, chunk: str = CHUNK) -> DataFrame:
@@ -149,13 +150,32 @@ def prepare(
     registry: DataFrame | None = None,
     chunk: str = CHUNK,
     score_fn=None,
+    isolate: bool = False,
 ) -> Prepared:
-    """Align, measure what is missing, fill, compensate and score all sites and periods."""
-    joined = aligned_sheet(readings, chunk)
-    if joined.isEmpty():
+    """Align, measure what is missing, fill, compensate and score all sites and periods.
+
+    A sensor id in two families, or a given model with other features than the probes, stops the
+    job; with ``isolate`` only the pairs that have one are left out and named in ``quarantine``.
+    """
+    stamped = settle(align.stamps(readings, chunk), "stamps")
+    facts = align.chunk_facts(stamped)
+    facts = settle(facts if isolate else align.without_clash(facts), "chunk-facts")
+    joined = settle(align.sheet(stamped, facts=facts.where("clash IS NULL")), "sheet")
+    bad = settle(quarantine.clashing_ids(facts), "clashes") if isolate else None
+    if joined.isEmpty() and (bad is None or bad.isEmpty()):
         raise NoDataError("no data: no timestamp is common to the families of any site")
     features = filled_features(joined)
-    models = settle(fit_models(features, registry), "models")
+    k = thermal.count_probes(features)
+    fitted, probes = thermal.fit(thermal.moments(features, k), k), thermal.probe_names(features)
+    if isolate and registry is not None:
+        fitted = settle(fitted, "fitted")
+        misfits = settle(quarantine.misfits(fitted, probes, registry), "misfits")
+        if not misfits.isEmpty():
+            bad = bad.unionByName(misfits)
+            joined, features, fitted, probes = (
+                quarantine.leave_out(df, misfits) for df in (joined, features, fitted, probes)
+            )
+    models = settle(thermal.choose_models(fitted, probes, registry), "models")
     if score_fn is None:
         scored = thermal.predict(features, models)
     else:
@@ -168,4 +188,5 @@ def prepare(
         features=features,
         models=models,
         control=settle(control(scored), "control"),
+        quarantine=bad,
     )

@@ -59,7 +59,8 @@ def write_stage(
 ) -> None:
     """Write one table of results; of an existing table only the same sites and periods go.
 
-    Pairs of ``wanted`` that have no row now lose the rows of an earlier run too. The rows are
+    Pairs of ``wanted``, those that were computed, lose the rows of an earlier run where they have no
+    row now; all others keep theirs. The rows are
     rebalanced first: few files per site and period, a large one in several.
     """
     spark, table = df.sparkSession, f"{folder.rstrip('/')}/{name}"

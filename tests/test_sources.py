@@ -7,11 +7,13 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spanwatch.operators import align, dimensions, steps
+from spanwatch.operators import align, dimensions, quarantine, steps
 from spanwatch.plans import prepare as prep
 from spanwatch.plans import report as rep
 from spanwatch.plans import score as sco
+from spanwatch.plans.prepare import NoDataError
 from spanwatch.plans.run import run_all
 from spanwatch.sources import families, kpis, labels, models, object_store, paths, stages
 from tests import frames
@@ -453,3 +455,112 @@ def test_stage_folder_must_be_shared_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="executors share"):
         stages.stage_folder(Session())
+
+
+def _two_sites(tmp_path, folders):
+    """P001 of the fixture and P002 with three families on the same two days, as files of a day each."""
+    other = tmp_path / "other"
+    other.mkdir()
+    stamps = [frames.stamp(k) for k in range(24)]
+    for day, some in (("01", stamps[:12]), ("02", stamps[12:])):
+        for family, column in (("dsp", "POT1_s"), ("str", "EST1_e"), ("tmp", "T1_t")):
+            values = [float((k * 7 + len(column)) % 5) for k in range(12)]
+            save(other, f"P002_2025-12-{day}_{family}.parquet", some, **{column: values})
+    mine = {"spost_path": str(other), "str_path": str(other), "tmp_path": str(other)}
+    return other, {"P001": folders, "P002": mine}
+
+
+def _table(spark, out, name):
+    return [tuple(r) for r in stages.read_stage(spark, out, name).collect()]
+
+
+def _quarantined(spark, out):
+    kind = T.StructType.fromDDL(quarantine.SCHEMA)
+    found = stages.read_stage(spark, out, "quarantine", kind).select("site", "period", "asked", "reason")
+    return sorted(tuple(r) for r in found.collect())
+
+
+def test_troubles_of_one_site_stop_no_other(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    other, sources = _two_sites(tmp_path, folders)
+    every = labels.read_labels(spark, str(folder), ["P001"])
+    names = every.select(F.explode(F.array(F.lit("P001"), F.lit("P002"))).alias("site"), "base_id", "label")
+    nameless = names.where("NOT (site = 'P002' AND base_id LIKE 'EST%')")
+    out = f"{tmp_path}/out"
+    args = (spark, sources, ["2025-12"])
+    when = date(2026, 1, 7)
+    run_all(*args, names, out, when)
+    assert _quarantined(spark, out) == []
+    before = {r["sensor_id"] for r in stages.read_stage(spark, out, "summary").where("site = 'P002'").collect()}
+    assert before == {"POT1_s", "EST1_e"}
+
+    # A sensor without a label: the earlier results stay and are called stale.
+    tables = run_all(*args, nameless, out, when)
+    assert _quarantined(spark, out) == [("P002", "2025-12", "2025-12", "sensor id without a label: EST1_e")]
+    status = {r["site"]: r["status"] for r in stages.read_stage(spark, out, "status").collect()}
+    assert status == {"P001": "done", "P002": "sensor id without a label: EST1_e; stale: results of an earlier run stay"}
+    assert {r["site"] for r in tables.summary.select("site").distinct().collect()} == {"P001"}
+    kept = stages.read_stage(spark, out, "summary").where("site = 'P002'")
+    assert {r["sensor_id"] for r in kept.collect()} == before
+
+    # A given model with another probe, in a fresh folder: nothing of an earlier run is there.
+    fresh = f"{tmp_path}/fresh"
+    registry = spark.createDataFrame([("P002", "POT1_s", ["T1_t", "T9_t"], [1.0, 1.0], 0.0)], models.REGISTRY_SCHEMA)
+    run_all(*args, names, fresh, when, registry=registry)
+    assert _quarantined(spark, fresh) == [("P002", "2025-12", "2025-12", "registry features differ from probes: POT1_s")]
+    assert {r[0] for r in stages.read_stage(spark, fresh, "control").select("site").distinct().collect()} == {"P001"}
+
+    # The same id in two families.
+    save(other, "P002_2025-12-03_str.parquet", [frames.stamp(30)], POT1_s=[1.0])
+    run_all(*args, names, fresh, when)
+    assert _quarantined(spark, fresh) == [("P002", "2025-12", "2025-12", "sensor id in two families: POT1_s")]
+
+
+def test_a_day_without_files_of_a_family(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    other, sources = _two_sites(tmp_path, folders)
+    (other / "P002_2025-12-02_tmp.parquet").unlink()
+    out = f"{tmp_path}/out"
+    _run(spark, folder, {"P002": sources["P002"]}, out, ["2025-12-01", "2025-12-02"])
+    assert _quarantined(spark, out) == [("P002", "2025-12", "2025-12-02", "no tmp file")]
+    assert [r["status"] for r in stages.read_stage(spark, out, "status").collect()] == ["done"]
+    assert stages.read_stage(spark, out, "control").count() == 2 * 12
+    # The month as one period has fewer files and the same timestamps in common.
+    whole = f"{tmp_path}/whole"
+    _run(spark, folder, {"P002": sources["P002"]}, whole)
+    assert _quarantined(spark, whole) == []
+    rows = lambda at: {(r["sensor_id"], r["ts"], r["z"]) for r in stages.read_stage(spark, at, "control").collect()}
+    assert rows(whole) == rows(out)
+
+
+def test_a_mistyped_folder_erases_nothing(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    _, sources = _two_sites(tmp_path, folders)
+    out = f"{tmp_path}/out"
+    _run(spark, folder, sources, out)
+    names = ["control", "summary", "alarm_series", "report_summary", "raw_series"]
+    before = {n: sorted(map(str, (r for r in _table(spark, out, n) if "P001" in r))) for n in names}
+    sources["P001"] = folders | {"tmp_path": f"{tmp_path}/mistyped"}
+    tables = _run(spark, folder, sources, out)
+    assert {n: sorted(map(str, (r for r in _table(spark, out, n) if "P001" in r))) for n in names} == before
+    status = {r["site"]: r["status"] for r in stages.read_stage(spark, out, "status").collect()}
+    assert status == {"P001": "no tmp file; stale: results of an earlier run stay", "P002": "done"}
+    assert _quarantined(spark, out) == [("P001", "2025-12", "2025-12", "no tmp file")]
+    assert {r["site"] for r in tables.summary.select("site").distinct().collect()} == {"P002"}
+    # Nothing can be read: the tables say why before the job ends.
+    sources["P002"] = {"spost_path": f"{tmp_path}/mistyped"}
+    with pytest.raises(NoDataError):
+        _run(spark, folder, sources, out)
+    assert [q[3] for q in _quarantined(spark, out)] == ["no tmp file", "no dsp file"]
+
+
+def test_a_site_with_probes_only(spark, bridge, tmp_path):
+    folder, folders, _ = bridge
+    other, sources = _two_sites(tmp_path, folders)
+    sources["P002"] = {"tmp_path": str(other)}
+    out = f"{tmp_path}/out"
+    _run(spark, folder, sources, out)
+    status = {r["site"]: r["status"] for r in stages.read_stage(spark, out, "status").collect()}
+    assert status == {"P001": "done", "P002": "no structural sensor"}
+    missing = stages.read_stage(spark, out, "missing_data").where("site = 'P002'").collect()
+    assert [(r["sensor_id"], r["missing_pct"]) for r in missing] == [("T1_t", 0.0)]
