@@ -104,7 +104,7 @@ class PieceModel:
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == NORMAL}
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.unknown = proto.trainer_spec.unk_surface
-        self.bytes = [self._bytes(p) for p in proto.pieces]
+        self.bytes = [self._bytes(p, self.unknown) for p in proto.pieces]
         self.is_byte = np.array([p.type == BYTE for p in proto.pieces])
         self.is_control = np.array([p.type == CONTROL for p in proto.pieces])
         self.agree: dict[tuple[str, str], bool] = {}
@@ -120,12 +120,20 @@ class PieceModel:
         self.coded = Known(self._coded, KEPT)
         self.known = Known(self._part, KEPT)
 
-    def _bytes(self, piece) -> bytes:
+    @classmethod
+    def bytes_of(cls, model: bytes) -> list[bytes]:
+        """What each id of a model is in a text."""
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(model)
+        return [cls._bytes(p, proto.trainer_spec.unk_surface) for p in proto.pieces]
+
+    @staticmethod
+    def _bytes(piece, unknown: str) -> bytes:
         if piece.type == BYTE:
             return bytes([int(piece.piece[1:-1], 16)])
         if piece.type == CONTROL:
             return b""
-        return (self.unknown if piece.type == UNKNOWN else piece.piece.replace(BLANK, " ")).encode()
+        return (unknown if piece.type == UNKNOWN else piece.piece.replace(BLANK, " ")).encode()
 
     @staticmethod
     def _cutter(pieces) -> str:

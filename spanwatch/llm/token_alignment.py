@@ -4,6 +4,9 @@ Tokens of both vocabularies are laid over the bytes of blank + text. Offsets whe
 cut them into groups; the two last tokens of a group are a link. The count of a pair of ids is the
 number of links of all documents that hold it.
 
+Documents are encoded once; their ids are a written table of two or four bytes a token, from which both
+passes align anew with a few array operations for many documents together.
+
 Counts are dense vectors without keys. The tokens of a link end together, so the bytes of one are a
 suffix of the other's: the vocabularies alone bound the distinct pairs (``most_pairs``, a few hundred
 thousand, whatever the input). A first pass counts each task's pairs. The distinct ones, united in a
@@ -12,53 +15,32 @@ keys that share a place go on to the next level; a key's index is the number of
 its own. Each task's counts become a vector by that index, and the vectors are summed in a tree. The
 keys in index order are kept beside it, so that a key that was never hashed is told apart. A second
 pass aligns the documents again and looks their links up.
-
-Texts are cut at places where tokens of both vocabularies always end: behind a letter that is followed
-by anything else, and before blanks and line breaks. Groups never cross these places, so a part is
-aligned once and remembered by its task. Characters that some rules take for blanks and others do not
-lead to cuts that all rules agree on.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
 from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame
 
 from spanwatch.llm.bpe import PATTERN
 from spanwatch.llm.common import kept_in_worker, settle
-from spanwatch.llm.piece_bpe import BLANK, Known, PieceModel, is_letter, letters, slices
+from spanwatch.llm.piece_bpe import PieceModel, slices
 from spanwatch.sources.stages import stage_folder
 
 FAN_IN = 32
 GAMMA = 2  # places of a level for each key that reaches it
 LEAST = 64  # places of a level
 SENT_BYTES = 1_500_000  # of text in one batch of results
-KEPT = 100_000  # parts remembered by a task
-COUNTED = 75_000  # distinct parts that a task counts before it turns them into pairs
-
-# Characters that are a blank for some rules, but not plainly for all.
-ODD_BLANKS = "\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
-
-
-class Aligned(NamedTuple):
-    """What one part of a text holds."""
-
-    groups: str  # "a1,a2|b1;a3|b2,b3"
-    n_a: int
-    n_b: int
-    keys: bytes  # of the links, eight for each group
-    whole: bool  # both vocabularies give the part's bytes back
 
 
 NOTHING = np.array([], np.int64)
@@ -88,60 +70,75 @@ def _byte_level(file: dict) -> tuple[tiktoken.Encoding, list[bytes]]:
     return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), out
 
 
+class Aligned(NamedTuple):
+    """Groups of many documents, one after the other."""
+
+    keys: np.ndarray  # of the links, one for each group
+    n_groups: np.ndarray  # of each document
+    ends_a: np.ndarray  # places of the last tokens of groups among all of A
+    ends_b: np.ndarray
+
+
 class Pair:
     """Two vocabularies: a byte-level one (A) and a piece model (B)."""
 
     def __init__(self, byte_level: bytes, pieces: bytes):
         self.a, self.a_bytes = _byte_level(json.loads(byte_level))
-        self.b = PieceModel(pieces)
-        self.b_bytes = self.b.bytes
-        self.a_length, self.b_length = ([len(t) for t in side] for side in (self.a_bytes, self.b_bytes))
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.b_bytes = PieceModel.bytes_of(pieces)
+        sides = self.a_bytes, self.b_bytes
+        self.a_table, self.b_table = (pa.array(t, pa.large_binary()) for t in sides)
+        self.a_length, self.b_length = (np.array([len(t) for t in side], np.int64) for side in sides)
         self.shift = len(self.b_bytes)
-        if not all(a.isascii() or not is_letter(a) or is_letter(b) for p in self.b.scores for a, b in zip(p, p[1:])):
-            raise ValueError("pieces hold a letter before another sign")
-        if any(b == BLANK != a for p in self.b.scores for a, b in zip(p, p[1:])):
-            raise ValueError("pieces hold a blank behind another sign")
-        blank, letter = " \n", letters()
-        self.parts = re.compile(f"[{blank}]*[{letter}]+|[{blank}]*[^{blank}{letter}]+[{letter}]*|[{blank}]+").findall
-        self.odd = re.compile(f"[{ODD_BLANKS}\t\r{BLANK}]").search
-        # Without a letter's end as a cut, and a run of blanks of any kind in one part.
-        inner = f"{blank}\t\r{ODD_BLANKS}{BLANK}"
-        self.odd_parts = re.compile(f"(?:[{inner}]*[^{inner}]+)(?=[{blank}])|.+", re.DOTALL).findall
-        self.known = Known(self._align, KEPT)
-
-    def split(self, text: str) -> list[str]:
-        """Parts of blank + text, for a text that is not empty."""
-        return (self.odd_parts if self.odd(text) else self.parts)(" " + text)
-
-    def _align(self, part: str) -> Aligned:
-        # A part is the beginning of its own text: the blank in front is of the part, or none is there.
-        data = part.encode()
-        a, b = self.a.encode_ordinary(part), []
-        for own in self.b.parts(part.replace(" ", BLANK)):
-            b += self.b.ids_of(self.b.walk(own))
-        whole = lambda ids, of: b"".join(map(of.__getitem__, ids)) == data
-        if not (whole(a, self.a_bytes) and whole(b, self.b_bytes)):
-            return Aligned("", 0, 0, b"", False)
-        ends_a = list(accumulate(map(self.a_length.__getitem__, a)))
-        ends_b = list(accumulate(map(self.b_length.__getitem__, b)))
-        at_b = {end: j for j, end in enumerate(ends_b, 1)}
-        groups, keys, i, j = [], [], 0, 0
-        for k, end in enumerate(ends_a, 1):
-            n = at_b.get(end)
-            if n:
-                one = a[i] if k == i + 1 else ",".join(map(str, a[i:k]))
-                other = b[j] if n == j + 1 else ",".join(map(str, b[j:n]))
-                groups.append(f"{one}|{other}")
-                keys.append(a[k - 1] * self.shift + b[n - 1])
-                i, j = k, n
-        return Aligned(";".join(groups), len(a), len(b), np.array(keys, np.int64).tobytes(), True)
-
-    def align(self, text: str | None) -> list[Aligned]:
-        """The parts of a text; none for null, the empty text, and one that is not given back whole."""
-        if not text:
-            return []
-        found = [self.known[p] for p in self.split(text)]
-        return found if all(f.whole for f in found) else []
+        self.width = "<u2" if max(map(len, sides)) <= 1 << 16 else "<u4"
+        # Each id as text, with each of the signs that may follow it.
+        signed = lambda side, sign: [f"{i}{sign}" for i in range(len(side))]
+        own = [signed(self.a_bytes, sign) for sign in ",|"] + [signed(self.b_bytes, sign) for sign in (",", ";", "")]
+        self.told = pa.array([t for side in own for t in side], pa.large_binary())
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of A and B; none for null, the empty text, and one that is not given back byte for byte."""
+        there = [t for t in texts if t]
+        a = [self.a.encode_to_numpy(" " + t, disallowed_special=()) for t in there]
+        b = [np.array(ids, np.int64) for ids in self.b.encode(there, num_threads=1)]
+        data = [(" " + t).encode() for t in there]
+        whole = np.logical_and(_gives(a, self.a_table, data), _gives(b, self.b_table, data))
+        coded = iter([(x.astype(self.width).tobytes(), y.astype(self.width).tobytes()) if w else (b"", b"") for x, y, w in zip(a, b, whole)])
+        rows = [next(coded) if t else (b"", b"") for t in texts]
+        return [r[0] for r in rows], [r[1] for r in rows]
+
+    def align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray) -> Aligned:
+        """Groups of documents whose tokens are joined; ``n_a`` of them are each one's in A.
+
+        Both sides of a document have the same bytes, so it ends in a group of its own.
+        """
+        at_a, at_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        found = np.searchsorted(at_b, at_a)
+        ends_a = np.flatnonzero(at_b[found] == at_a) if len(at_b) else np.zeros(0, np.int64)
+        ends_b = found[ends_a]
+        of_doc = np.searchsorted(ends_a, np.append(0, np.cumsum(n_a)))
+        return Aligned(a[ends_a] * self.shift + b[ends_b], np.diff(of_doc), ends_a, ends_b)
+
+    def tell(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, groups: Aligned) -> pa.StringArray:
+        """Groups of each document as ``a1,a2|b1;a3|b2,b3``."""
+        code_a, code_b = a.copy(), b + 2 * len(self.a_bytes)
+        code_a[groups.ends_a] += len(self.a_bytes)
+        code_b[groups.ends_b] += self.shift
+        last = np.cumsum(n_b)[n_b > 0] - 1
+        code_b[last] += self.shift
+        # Tokens of a group follow those of the groups before it, A's before B's.
+        ends = lambda n, places: np.append(0, np.cumsum(np.bincount(places, minlength=n)))[:-1]
+        if len(a):
+            group_a, group_b = ends(len(a), groups.ends_a), ends(len(b), groups.ends_b)
+            codes = np.empty(len(a) + len(b), np.int64)
+            codes[np.arange(len(a)) + np.append(0, groups.ends_b + 1)[group_a]] = code_a
+            codes[np.arange(len(b)) + (groups.ends_a + 1)[group_b]] = code_b
+        else:
+            codes = np.zeros(0, np.int64)
+        taken = self.told.take(pa.array(codes))
+        starts = _places(taken)[np.append(0, np.cumsum(n_a + n_b))]
+        data = taken.buffers()[2] or pa.py_buffer(b"")
+        return pa.Array.from_buffers(pa.large_string(), len(n_a), [None, pa.py_buffer(starts.tobytes()), data]).cast(pa.string())
 
     def most_pairs(self) -> int:
         """How many pairs of ids can end together: the bytes of one are a suffix of the other's."""
@@ -206,37 +203,56 @@ class PerfectHash:
         return found
 
 
-def _vectors(documents: DataFrame, sent) -> DataFrame:
-    """``keys, counts``: what each task counted, keys in order, one row for a task."""
+def _places(values: pa.LargeBinaryArray) -> np.ndarray:
+    """Where values begin in their buffer, and where the last one ends."""
+    return np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, 8 * values.offset) if len(values) else np.zeros(1, np.int64)
+
+
+def _gives(ids: list[np.ndarray], table: pa.Array, wanted: list[bytes]) -> list[bool]:
+    """Whether the bytes of ids are those wanted."""
+    taken = table.take(pa.array(np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)))
+    starts = _places(taken)[np.cumsum([0, *map(len, ids)])]
+    data = memoryview(taken.buffers()[2] or b"").cast("B")
+    return [data[a:b] == w for a, b, w in zip(starts, starts[1:], wanted)]
+
+
+def encoded(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
+    """``doc_id, a, b``: ids of both vocabularies in two or four bytes each, a written table."""
+    sent = _vocabularies(documents, byte_level, pieces)
+    kind = dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = loaded(*sent.value)
-        parts: Counter[str] = Counter()
-        keys, counts = NOTHING, NOTHING
+        for batch in batches:
+            for some in slices(batch, "text", SENT_BYTES):
+                a, b = pair.encode(some.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["doc_id", "a", "b"]
+                )
+
+    return settle(documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, a binary, b binary"), "token-ids")
 
-        def add() -> None:
-            nonlocal keys, counts
-            found = [(pair.known[p].keys, n) for p, n in parts.items()]
-            parts.clear()
-            new = np.frombuffer(b"".join([k for k, _ in found]), np.int64)
-            times = np.repeat(np.array([n for _, n in found], np.int64), [len(k) // 8 for k, _ in found])
-            keys, counts = _summed(np.concatenate([keys, new]), np.concatenate([counts, times]))
 
+def _ids(column: pa.Array, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows joined, and how many are of each."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), width).astype(np.int64), np.array([len(r) for r in rows], np.int64) // int(width[2])
+
+
+def _vectors(tokens: DataFrame, sent) -> DataFrame:
+    """``keys, counts``: what each task counted, keys in order, one row for a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = loaded(*sent.value)
+        keys, counts = NOTHING, NOTHING
         for batch in batches:
-            for text in batch.column(0):
-                text = text.as_py()
-                if not text:
-                    continue
-                found = pair.split(text)
-                # A part that was counted before is of a text that was whole.
-                if all(pair.known[p].whole for p in set(found) if p not in parts):
-                    parts.update(found)
-                if len(parts) >= COUNTED:
-                    add()
-        add()
+            for some in slices(batch, "a", SENT_BYTES):
+                (a, n_a), (b, _) = (_ids(some.column(c), pair.width) for c in (0, 1))
+                new, times = np.unique(pair.align(a, b, n_a).keys, return_counts=True)
+                keys, counts = _summed(np.append(keys, new), np.append(counts, times))
         yield pa.record_batch([pa.array([keys.tobytes()]), pa.array([counts.tobytes()])], names=["keys", "counts"])
 
-    return documents.select("text").mapInArrow(run, "keys binary, counts binary")
+    return tokens.select("a", "b").mapInArrow(run, "keys binary, counts binary")
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,17 +304,17 @@ def _vocabularies(documents: DataFrame, byte_level: str, pieces: str):
     return documents.sparkSession.sparkContext.broadcast((Path(byte_level).read_bytes(), Path(pieces).read_bytes()))
 
 
-def pair_counts(documents: DataFrame, byte_level: str, pieces: str) -> Counts:
-    """How often which ids are linked in all of ``documents`` (``text``).
+def pair_counts(tokens: DataFrame, byte_level: str, pieces: str) -> Counts:
+    """How often which ids are linked in all of ``tokens``, a table of ``encoded``.
 
     What reaches the driver, and later each task, is one row for each distinct pair, at most
     ``Pair.most_pairs`` for any input.
     """
-    sent = _vocabularies(documents, byte_level, pieces)
-    counted = settle(_vectors(documents, sent), "pairs")
+    sent = _vocabularies(tokens, byte_level, pieces)
+    counted = settle(_vectors(tokens, sent), "pairs")
     index = PerfectHash.of(np.frombuffer(_tree(counted, "keys", np.union1d, "pair-keys"), np.int64))
     shift = loaded(*sent.value).shift
-    hashed = documents.sparkSession.sparkContext.broadcast((index.levels, index.keys))
+    hashed = tokens.sparkSession.sparkContext.broadcast((index.levels, index.keys))
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, out = PerfectHash(*hashed.value), None
@@ -328,55 +344,43 @@ def counts_table(spark, counts: Counts) -> DataFrame:
 COLUMNS = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
-def align_documents(documents: DataFrame, counts: Counts, byte_level: str, pieces: str) -> DataFrame:
-    """Groups of every document and what the counts say of its links.
+def align_documents(tokens: DataFrame, counts: Counts, byte_level: str, pieces: str) -> DataFrame:
+    """Groups of every document of ``tokens``, a table of ``encoded``, and what the counts say of its links.
 
     Rows: ``doc_id, n_a, n_b`` (tokens), ``n_groups, n_links``, ``n_best`` (links that count as much as any
-    of their B id), ``count_sum`` (of the links' counts) and ``groups`` as ``a1,a2|b1;a3|b2,b3``. Null and
-    empty texts, and texts that a vocabulary does not give back byte for byte, have zeros and the
-    empty string. Rows stay as often as they come, with null ids too; further columns are not read.
-    A link that was not counted, because it is in no counted document, counts zero.
+    of their B id), ``count_sum`` (of the links' counts) and ``groups`` as ``a1,a2|b1;a3|b2,b3``. A link that
+    was not counted, because it is in no counted document, counts zero.
     """
-    kind = dict(documents.dtypes)["doc_id"]
-    sent = _vocabularies(documents, byte_level, pieces)
+    kind = dict(tokens.dtypes)["doc_id"]
+    sent = _vocabularies(tokens, byte_level, pieces)
     plain = (counts.index.levels, counts.index.keys, counts.counts, counts.best)
-    table = documents.sparkSession.sparkContext.broadcast(plain)
+    table = tokens.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, (levels, keys, counts, best) = loaded(*sent.value), table.value
-        index, padded = PerfectHash(levels, keys), (np.append(counts, 0), np.append(best, False))
-
-        def judged(parts: list[str]) -> tuple[dict[str, int], np.ndarray, list[str]]:
-            """Place of each part in rows of numbers and in texts; all links are looked up together."""
-            found = [pair.known[p] for p in parts]
-            links = np.array([len(f.keys) // 8 for f in found], np.int64)
-            at = index.find(np.frombuffer(b"".join([f.keys for f in found]), np.int64))
-            ends = np.append(0, np.cumsum(links))
-            of_part = lambda values: np.diff(np.append(0, np.cumsum(values))[ends])
-            own = np.array([(f.n_a, f.n_b, f.whole) for f in found], np.int64).reshape(-1, 3)
-            rows = [own[:, 0], own[:, 1], links, links, of_part(padded[1][at]), of_part(padded[0][at]), own[:, 2]]
-            return dict(zip(parts, range(len(parts)))), np.stack(rows, 1), [f.groups for f in found]
-
+        index, total, is_best = PerfectHash(levels, keys), np.append(counts, 0), np.append(best, False)
         for batch in batches:
-            for some in slices(batch, "text", SENT_BYTES):
-                split = [pair.split(t) if t else [] for t in some.column(1).to_pylist()]
-                place, rows, groups = judged(list({p: 0 for parts in split for p in parts}))
-                numbers, texts = [], []
-                for parts in split:
-                    at = [place[p] for p in parts]
-                    own = rows[at] if at else rows[:0]
-                    whole = bool(own[:, 6].all())
-                    numbers.append(own[:, :6].sum(0) * whole)
-                    texts.append(";".join([groups[i] for i in at]) if whole else "")
-                columns = np.stack(numbers, 1) if numbers else np.zeros((6, 0), np.int64)
+            for some in slices(batch, "a", SENT_BYTES):
+                (a, n_a), (b, n_b) = (_ids(some.column(c), pair.width) for c in (1, 2))
+                found = pair.align(a, b, n_a)
+                at = index.find(found.keys)
+                ends = np.append(0, np.cumsum(found.n_groups))
+                of_doc = lambda values: np.diff(np.append(0, np.cumsum(values))[ends])
+                columns = [n_a, n_b, found.n_groups, found.n_groups, of_doc(is_best[at]), of_doc(total[at])]
+                columns = [*map(pa.array, columns), pair.tell(a, b, n_a, n_b, found)]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), *map(pa.array, columns), pa.array(texts, pa.string())],
-                    names=["doc_id", *(c.split()[0] for c in COLUMNS.split(", "))],
+                    [some.column(0), *columns], names=["doc_id", *(c.split()[0] for c in COLUMNS.split(", "))]
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {COLUMNS}")
+    return tokens.select("doc_id", "a", "b").mapInArrow(run, f"doc_id {kind}, {COLUMNS}")
 
 
 def alignments(documents: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """Count all pairs of ids, then align every document; rows as of ``align_documents``."""
-    return align_documents(documents, pair_counts(documents, byte_level, pieces), byte_level, pieces)
+    """Encode ``documents`` (``doc_id, text``), count all pairs of ids, then align every document.
+
+    Rows as of ``align_documents``, as often as they come, with null ids too. Null and empty texts, and
+    texts that a vocabulary does not give back byte for byte, have zeros and the empty string. Further
+    columns are not read; an empty table gives no row.
+    """
+    tokens = encoded(documents, byte_level, pieces)
+    return align_documents(tokens, pair_counts(tokens, byte_level, pieces), byte_level, pieces)

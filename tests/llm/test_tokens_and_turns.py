@@ -189,14 +189,18 @@ def plain(library):
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
-def test_parts_are_cut_where_all_tokens_end(plain):
+def test_groups_of_strange_texts(plain):
     pair = token_alignment.Pair(Path(BYTE_LEVEL).read_bytes(), Path(PIECES).read_bytes())
-    texts = strange_texts()
-    texts += ["it's 'tis don't I'll 3rd ...etc (a)b", "a \xa0b   c", "x\n\n  y \n z  ", "<|endoftext|> a<|endoftext|>"]
-    for text in texts:
-        told = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in plain.groups(text))
-        assert ";".join(p.groups for p in pair.align(text)) == told, repr(text)
+    texts = [None, *strange_texts(), "it's 'tis don't I'll 3rd ...etc (a)b", "a \xa0b   c", "", "x\n\n  y \n z  ", "<|endoftext|> a<|endoftext|>"]
+    coded = pair.encode(texts)
+    (a, n_a), (b, n_b) = (([len(c) // 2 for c in side], np.frombuffer(b"".join(side), pair.width).astype(np.int64))[::-1] for side in coded)
+    n_a, n_b = np.array(n_a), np.array(n_b)
+    told = pair.tell(a, b, n_a, n_b, pair.align(a, b, n_a)).to_pylist()
+    for text, own in zip(texts, told, strict=True):
+        assert own == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in plain.groups(text)), repr(text)
     assert 100_000 < pair.most_pairs() < 1_000_000
+    nothing = np.zeros(0, np.int64)
+    assert pair.tell(nothing, nothing, nothing, nothing, pair.align(nothing, nothing, nothing)).to_pylist() == []
 
 
 def test_most_pairs_counts_suffixes():
@@ -235,8 +239,9 @@ def test_align_rows(spark, plain, monkeypatch):
 
 def test_counts_of_other_documents(spark, plain):
     one = spark.createDataFrame([(1, "a word"), (2, "a word and others")], "doc_id int, text string")
-    counts = token_alignment.pair_counts(one.where("doc_id = 1"), BYTE_LEVEL, PIECES)
-    found = {r["doc_id"]: r["count_sum"] for r in token_alignment.align_documents(one, counts, BYTE_LEVEL, PIECES).collect()}
+    tokens = token_alignment.encoded(one, BYTE_LEVEL, PIECES)
+    counts = token_alignment.pair_counts(tokens.where("doc_id = 1"), BYTE_LEVEL, PIECES)
+    found = {r["doc_id"]: r["count_sum"] for r in token_alignment.align_documents(tokens, counts, BYTE_LEVEL, PIECES).collect()}
     assert found == {1: 2, 2: 2}
     told = token_alignment.counts_table(spark, counts)
     assert told.agg(F.sum("n")).first()[0] == 2 and told.columns == ["a_id", "b_id", "n"]
