@@ -6,11 +6,12 @@ Sequence i gets the global slot P(i), where P is a Feistel network over the smal
 bits that holds all numbers, walked along its cycles until it falls below their count: a permutation
 of exactly the sequences, without a table, a sort or a random number per row, and invertible.
 
-The stream is never gathered. A first pass counts the tokens of each input split (one short row per
-split reaches the driver), which gives each split its place in the stream. A second pass encodes
-again and deals each document's pieces to the shards of their slots, so the only shuffle is that of
-the tokens. Both passes must see the same splits; the second checks the count and the ids of each
-split, and if they changed, because executors joined or left between the passes, both run again.
+The stream is never gathered. Each input split is encoded once and written with the place of every
+document in the split's own stream; the splits' lengths (one short row per split reaches the driver)
+then give each split its place in the whole stream. A second pass reads the ids, not the texts, and
+deals each document's pieces to the shards of their slots, so the only shuffle is that of the tokens,
+which are compressed for it. Places are written beside the ids: a task that runs again, or an
+executor that is lost, changes neither.
 
 A shard holds ``per_shard`` consecutive slots in slot order, one Parquet file, uncompressed and
 without dictionary, in rows of constant width. Reading from any slot on needs its shard and row only:
@@ -19,24 +20,25 @@ without dictionary, in rows of constant width. Reading from any slot on needs it
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanwatch.llm.bpe import Encoder
+from spanwatch.sources.stages import stage_folder
 
 LENGTH = 2_048
 PER_SHARD = 4_096
 ROUNDS = 6
 KEY = 20_240_601
-ATTEMPTS = 3
-SENT_BYTES = 2_000_000  # of tokens in one batch of pieces
+SENT_BYTES = 2_000_000  # of tokens in one batch of documents or pieces
 
 
 def _round(half: np.ndarray, key: int, turn: int, bits: int) -> np.ndarray:
@@ -70,46 +72,70 @@ def permute(index: np.ndarray, count: int, key: int = KEY, back: bool = False) -
     return out.astype(np.int64)
 
 
-def _mark(held: int, doc: object, n: int) -> int:
-    return xxhash.xxh64_intdigest(f"{held} {doc} {n}")
-
-
-def _counted(documents: DataFrame, ranks) -> list[tuple[int, int, int]]:
-    """Per split: number, tokens with end marks, mark of its documents in order."""
+def _encoded(documents: DataFrame, ranks) -> DataFrame:
+    """``part, at, n, doc_id, tokens``: documents with end marks and their places in their split's stream."""
+    spark, kind = documents.sparkSession, dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total, mark = Encoder(ranks.value), 0, 0
+        encoder, part, at = Encoder(ranks.value), TaskContext.get().partitionId(), 0
+        end = np.array([encoder.size], "<u2").tobytes()
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = text.as_py()
-                n = len(encoder.encoding.encode_ordinary(text)) + 1 if text else 0
-                total, mark = total + n, _mark(mark, doc, n)
-        part = TaskContext.get().partitionId()
-        yield pa.record_batch(
-            [pa.array([part], pa.int64()), pa.array([total], pa.int64()), pa.array([str(mark)])],
-            names=["part", "n", "mark"],
-        )
-
-    rows = documents.select("doc_id", "text").mapInArrow(run, "part long, n long, mark string").collect()
-    return sorted((r["part"], r["n"], int(r["mark"])) for r in rows)
-
-
-def _pieces(documents: DataFrame, ranks, counted, length: int, per_shard: int, key: int) -> DataFrame:
-    """``shard, slot, start, doc_id, tokens``: a document's part of a sequence, from place ``start``."""
-    total = sum(n for _, n, _ in counted)
-    count = -(-total // length)
-    places, at = {}, 0
-    for part, n, mark in counted:
-        places[part] = (at, n, mark)
-        at += n
-    sent = documents.sparkSession.sparkContext.broadcast(places)
-    kind = dict(documents.dtypes)["doc_id"]
+            places, sizes, docs, tokens, held = [], [], [], [], 0
+
+            def rows(kind: pa.DataType) -> pa.RecordBatch:
+                columns = [
+                    pa.array([part] * len(docs), pa.int32()),
+                    pa.array(places, pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(docs, kind),
+                    pa.array(tokens, pa.binary()),
+                ]
+                return pa.record_batch(columns, names=["part", "at", "n", "doc_id", "tokens"])
+
+            texts = (t.as_py() for t in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
+                if not ids:
+                    continue
+                places.append(at)
+                sizes.append(len(ids) // 2 + 1)
+                docs.append(doc)
+                tokens.append(ids + end)
+                at += sizes[-1]
+                held += len(ids)
+                if held >= SENT_BYTES:
+                    yield rows(batch.column(0).type)
+                    places, sizes, docs, tokens, held = [], [], [], [], 0
+            if docs:
+                yield rows(batch.column(0).type)
+
+    fields = f"part int, at long, n long, doc_id {kind}, tokens binary"
+    path = f"{stage_folder(spark)}/spanwatch/shard-tokens-{uuid.uuid4().hex}"
+    found = documents.select("doc_id", F.col("text").cast("string")).mapInArrow(run, fields)
+    found.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    return spark.read.schema(fields).parquet(path)
+
+
+def _split_sizes(encoded: DataFrame) -> list[tuple[int, int]]:
+    """Number and tokens of each split, in order; the ids are not read."""
+    rows = encoded.groupBy("part").agg(F.sum("n").alias("n")).collect()
+    return sorted((r["part"], r["n"]) for r in rows)
+
+
+def _pieces(encoded: DataFrame, sizes: list[tuple[int, int]], length: int, per_shard: int, key: int) -> DataFrame:
+    """``shard, slot, start, doc_id, tokens``: a document's part of a sequence, from place ``start``.
+
+    ``tokens`` are compressed.
+    """
+    count = -(-sum(n for _, n in sizes) // length)
+    begins, begin = {}, 0
+    for part, n in sizes:
+        begins[part] = begin
+        begin += n
+    sent = encoded.sparkSession.sparkContext.broadcast(begins)
+    kind = dict(encoded.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value)
-        end = np.array([encoder.size], "<u2").tobytes()
-        at, n, wanted = sent.value.get(TaskContext.get().partitionId(), (0, 0, 0))
-        begin, mark = at, 0
+        pack = zstandard.ZstdCompressor().compress
         docs, own, starts, cut, held = [], [], [], [], 0
 
         def rows(kind: pa.DataType) -> pa.RecordBatch:
@@ -129,47 +155,36 @@ def _pieces(documents: DataFrame, ranks, counted, length: int, per_shard: int, k
             return out
 
         for batch in batches:
-            texts = (t.as_py() for t in batch.column(1))
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.batch(texts), strict=True):
-                size = len(ids) // 2 + 1 if ids else 0
-                mark = _mark(mark, doc, size)
-                if not size:
-                    continue
-                ids += end
+            places = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
+            for (part, at, size, doc), ids in zip(places, batch.column(4), strict=True):
+                at, ids = at + sent.value[part], memoryview(ids.as_buffer())
                 first = at // length
                 for number in range(first, (at + size - 1) // length + 1):
                     a, b = max(at, number * length), min(at + size, (number + 1) * length)
                     docs.append(doc)
                     own.append(number)
                     starts.append(a - number * length)
-                    cut.append(ids[2 * (a - at) : 2 * (b - at)])
-                at += size
+                    cut.append(pack(ids[2 * (a - at) : 2 * (b - at)]))
                 held += len(ids)
                 if held >= SENT_BYTES:
-                    yield rows(batch.column(0).type)
+                    yield rows(batch.column(3).type)
                     held = 0
             if docs:
-                yield rows(batch.column(0).type)
+                yield rows(batch.column(3).type)
                 held = 0
-        if at - begin != n or mark != wanted:
-            raise RuntimeError(CHANGED)
-
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"shard long, slot long, start int, doc_id {kind}, tokens binary"
-    )
-
 
-CHANGED = "input splits changed between the passes"
+    return encoded.mapInArrow(run, f"shard long, slot long, start int, doc_id {kind}, tokens binary")
 
 
 def _rows(length: int, end: int):
     """Pieces in order of slot and start to whole sequences, padded with end marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         held: list[tuple] = []  # pieces of the sequence that is open
 
         def close(pieces: list[tuple]) -> tuple:
-            ids = b"".join(p[4] for p in pieces)
+            ids = b"".join(unpack(p[4]) for p in pieces)
             n = len(ids) // 2
             ids += np.full(length - n, end, "<u2").tobytes()
             return pieces[0][0], pieces[0][1], n, ids, [p[3] for p in pieces], [p[2] for p in pieces]
@@ -214,7 +229,6 @@ def write_shards(
 ) -> DataFrame:
     """Write all tokens of ``documents`` (``doc_id, text``) to ``path``; the written table.
 
-    ``documents`` must be a plain read of files, so that its splits can be read twice alike.
     ``vocabulary`` is a rank file with ids below 65,536; the id after its last ends a document.
     Rows: ``shard, slot, n_tokens`` (without padding), ``tokens`` (``length`` little-endian ids of
     two bytes), ``doc_ids`` and ``doc_starts``, the documents in a sequence and where each begins or
@@ -227,29 +241,22 @@ def write_shards(
     end = Encoder(ranks.value).size
     kind = dict(documents.dtypes)["doc_id"]
     fields = f"slot long, n_tokens int, tokens binary, doc_ids array<{kind}>, doc_starts array<int>"
-    for attempt in range(1, ATTEMPTS + 1):
-        counted = _counted(documents, ranks)
-        pieces = _pieces(documents, ranks, counted, length, per_shard, key)
-        shards = -(-sum(n for _, n, _ in counted) // (length * per_shard)) or 1
-        width = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        rows = (
-            pieces.repartition(width, "shard")
-            .sortWithinPartitions("shard", "slot", "start", "doc_id")
-            .mapInArrow(_rows(length, end), f"shard long, {fields}")
-            .sortWithinPartitions("shard", "slot")
-        )
-        try:
-            (
-                rows.write.mode("overwrite")
-                .option("compression", "uncompressed")
-                .option("parquet.enable.dictionary", "false")
-                .partitionBy("shard")
-                .parquet(path)
-            )
-            break
-        except Exception as error:
-            if CHANGED not in str(error) or attempt == ATTEMPTS:
-                raise
+    encoded = _encoded(documents, ranks)
+    sizes = _split_sizes(encoded)
+    shards = -(-sum(n for _, n in sizes) // (length * per_shard)) or 1
+    width = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (
+        _pieces(encoded, sizes, length, per_shard, key)
+        .repartition(width, "shard")
+        .sortWithinPartitions("shard", "slot", "start", "doc_id")
+        .mapInArrow(_rows(length, end), f"shard long, {fields}")
+        .sortWithinPartitions("shard", "slot")
+        .write.mode("overwrite")
+        .option("compression", "uncompressed")
+        .option("parquet.enable.dictionary", "false")
+        .partitionBy("shard")
+        .parquet(path)
+    )
     return read_shards(spark, path, kind)
 
 

@@ -585,6 +585,13 @@ def test_shards(spark, encoder, tmp_path):
     assert {d for d, _ in begun} == {k for k, t in rows if t} and all(s < length for _, s in begun)
     files = list((tmp_path / "out").rglob("*.parquet"))
     assert len(files) == -(-count // per_shard)
+    # Splits that no second read would give again.
+    shaken = source.withColumn("order", F.rand()).repartition(5, F.rand()).sortWithinPartitions("order")
+    again = feistel_shards.write_shards(shaken, str(tmp_path / "again"), VOCABULARY, length, per_shard).collect()
+    order = sorted(again, key=lambda r: int(feistel_shards.permute(np.array([r["slot"]]), count, back=True)[0]))
+    stream = np.concatenate([np.frombuffer(r["tokens"], "<u2")[: r["n_tokens"]] for r in order])
+    parts = np.split(stream, np.flatnonzero(stream == end) + 1)[:-1]
+    assert len(again) == count and Counter(encoder.encoding.decode(x[:-1].tolist()) for x in parts) == texts
     for file in files:
         slots = spark.read.parquet(str(file)).select("slot").toPandas()["slot"].tolist()
         assert slots == sorted(slots)
