@@ -111,7 +111,12 @@ def _encoded(documents: DataFrame, ranks) -> DataFrame:
     fields = f"part int, at long, n long, doc_id {kind}, tokens binary"
     path = f"{stage_folder(spark)}/spanwatch/shard-tokens-{uuid.uuid4().hex}"
     found = documents.select("doc_id", F.col("text").cast("string")).mapInArrow(run, fields)
-    found.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    (
+        found.write.option("compression", "zstd")
+        .option("parquet.compression.codec.zstd.level", "6")
+        .option("parquet.enable.dictionary", "false")
+        .parquet(path)
+    )
     return spark.read.schema(fields).parquet(path)
 
 

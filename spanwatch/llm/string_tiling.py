@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanwatch.llm.common import settle, small
@@ -164,9 +164,9 @@ def _filter(runs: DataFrame, bits: int) -> np.ndarray:
 
 
 def stretches_of(documents: DataFrame, runs: DataFrame, short: list[int], tile: int = TILE, bits: int = FILTER_BITS) -> DataFrame:
-    """``doc_id, stretches, runs``: only rows with tokens whose runs may occur in an item.
+    """``doc_id, alone, stretches, runs``: only rows with tokens whose runs may occur in an item.
 
-    ``short`` lists the lengths below ``tile`` of items that are shorter.
+    ``alone`` is a digest of the text where ``doc_id`` is null, so that such rows stay apart. ``short`` lists the lengths below ``tile`` of items that are shorter.
     """
     sent = documents.sparkSession.sparkContext.broadcast(_filter(runs, bits))
 
@@ -179,8 +179,8 @@ def stretches_of(documents: DataFrame, runs: DataFrame, short: list[int], tile:
             return table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) > 0
 
         for batch in batches:
-            ids, found, seeds = [], [], []
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
+            rows, found, seeds = [], [], []
+            for row, text in enumerate(batch.column(2)):
                 tokens = token_hashes(text.as_py(), known)
                 own, cut = [], []
                 for length in [tile, *short]:
@@ -197,29 +197,36 @@ def stretches_of(documents: DataFrame, runs: DataFrame, short: list[int], tile:
                         np.add.at(inside, at + length, -1)
                     covered = np.cumsum(inside)[:-1] > 0
                     edge = np.flatnonzero(np.diff(np.r_[False, covered, False]))
-                    ids.append(key.as_py())
+                    rows.append(row)
                     found.append([tokens[a:b].view(np.int64) for a, b in zip(edge[::2], edge[1::2], strict=True)])
                     seeds.append(np.unique(np.concatenate(own)).view(np.int64))
-            if ids:
+            if rows:
                 yield pa.record_batch(
                     [
-                        pa.array(ids, batch.column(0).type),
+                        batch.column(0).take(pa.array(rows)),
+                        batch.column(1).take(pa.array(rows)),
                         pa.array(found, pa.list_(pa.list_(pa.int64()))),
                         pa.array(seeds, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "stretches", "runs"],
+                    names=["doc_id", "alone", "stretches", "runs"],
                 )
 
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, stretches array<array<long>>, runs array<long>"
+    alone = F.when(F.col("doc_id").isNull(), _digest()).alias("alone")
+    return documents.select("doc_id", alone, "text").mapInArrow(
+        run, f"doc_id {kind}, alone string, stretches array<array<long>>, runs array<long>"
     )
 
 
+def _digest() -> Column:
+    """What a row without an id is known by: rows with one text have one verdict."""
+    return F.sha2(F.col("text"), 256)
+
+
 def coverages(documents: DataFrame, benchmark: DataFrame, tile: int = TILE) -> DataFrame:
-    """``row, doc_id, item_id, covered, n_tokens``: pairs that share a run of ``tile`` tokens.
+    """``row, doc_id, alone, item_id, covered, n_tokens``: pairs that share a run of ``tile`` tokens.
 
-    ``row`` tells rows of one ``doc_id`` apart.
+    ``row`` tells rows of one ``doc_id`` apart, ``alone`` is a digest of the text of a row without one.
     """
     items, runs = item_runs(benchmark, tile)
     lengths = items.select(F.size("tokens").alias("n")).filter(F.col("n") < tile).distinct().collect()
@@ -231,9 +238,9 @@ def coverages(documents: DataFrame, benchmark: DataFrame, tile: int = TILE) -> D
         cut.select("row", F.explode("runs").alias("run")).join(runs, "run").select("row", "item_id").distinct()
     )
     joined = (
-        pairs.join(cut.select("row", "doc_id", "stretches"), "row")
+        pairs.join(cut.select("row", "doc_id", "alone", "stretches"), "row")
         .join(small(items, 100_000), "item_id")
-        .select("row", "doc_id", "item_id", "tokens", "stretches")
+        .select("row", "doc_id", "alone", "item_id", "tokens", "stretches")
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -246,13 +253,15 @@ def coverages(documents: DataFrame, benchmark: DataFrame, tile: int = TILE) -> D
                 ))
                 for item, text in zip(batch["tokens"], batch["stretches"], strict=True)
             ]
-            out = batch[["row", "doc_id", "item_id"]].copy()
+            out = batch[["row", "doc_id", "alone", "item_id"]].copy()
             out["covered"], out["n_tokens"] = covered, batch["tokens"].map(len)
             yield out
 
     kinds = dict(documents.dtypes), dict(benchmark.dtypes)
     return joined.mapInPandas(
-        run, f"row long, doc_id {kinds[0]['doc_id']}, item_id {kinds[1]['item_id']}, covered long, n_tokens long"
+        run,
+        f"row long, doc_id {kinds[0]['doc_id']}, alone string, item_id {kinds[1]['item_id']}, "
+        "covered long, n_tokens long",
     )
 
 
@@ -263,26 +272,31 @@ def contamination(
 
     ``item_id`` is the item best covered (ties: the smallest), ``coverage`` its covered share,
     ``n_items`` the number of items covered to at least ``coverage``; null, 0 and 0 without a
-    shared run. Contaminated is a document with such an item. Null or empty texts and items have no
-    tokens and match nothing; items with a null id are left out; rows with a null ``doc_id`` are
-    judged like others. Repeated items count once each; repeated rows stay. An empty table gives
+    shared run. Contaminated is a document with such an item. Rows of one ``doc_id`` are one document;
+    rows with a null ``doc_id`` are judged each by its own text. Null or empty texts and items have no
+    tokens and match nothing; items with a null id are left out. Repeated items count once each; repeated rows stay. An empty table gives
     no rows. Further columns are not read.
     """
     share = F.col("covered") / F.col("n_tokens")
     found = (
         settle(coverages(documents, benchmark, tile), "tiling-coverages")
         .withColumn("share", share)
-        .groupBy("row", "doc_id")
+        .groupBy("row", "doc_id", "alone")
         .agg(
             F.min(F.struct(F.negate("share").alias("short"), "item_id")).alias("best"),
             F.countDistinct(F.when(F.col("share") >= coverage, F.col("item_id"))).alias("n_items"),
         )
-        .groupBy("doc_id")
-        # Rows of one id are one document here; null ids are one more.
+        .groupBy("doc_id", "alone")
         .agg(F.min("best").alias("best"), F.max("n_items").alias("n_items"))
-        .select(F.col("doc_id").alias("__doc"), "best", "n_items")
     )
-    return documents.select("doc_id").join(small(found), F.col("doc_id").eqNullSafe(F.col("__doc")), "left").select(
+    found = settle(found, "tiling-found")
+    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__doc"), "best", "n_items")
+    nameless = found.filter("doc_id IS NULL").select("alone", "best", "n_items")
+    known = documents.filter("doc_id IS NOT NULL").select("doc_id")
+    unknown = documents.filter("doc_id IS NULL").select("doc_id", _digest().alias("digest"))
+    judged = known.join(small(named), F.col("doc_id") == F.col("__doc"), "left").select("doc_id", "best", "n_items")
+    rest = unknown.join(small(nameless), F.col("digest") == F.col("alone"), "left").select("doc_id", "best", "n_items")
+    return judged.unionByName(rest).select(
         "doc_id",
         F.col("best.item_id").alias("item_id"),
         F.coalesce(-F.col("best.short"), F.lit(0.0)).alias("coverage"),
@@ -294,8 +308,16 @@ def contamination(
 def decontaminate(
     documents: DataFrame, benchmark: DataFrame, tile: int = TILE, coverage: float = COVERAGE
 ) -> DataFrame:
-    """``documents`` without the contaminated ones; all columns are kept."""
+    """``documents`` without the contaminated ones, see ``contamination``; all columns are kept.
+
+    Of the rows with a null ``doc_id`` those go whose own text is contaminated; rows with a null or
+    empty text stay, unless another row of their id is contaminated.
+    """
     share = F.col("covered") / F.col("n_tokens")
-    bad = coverages(documents, benchmark, tile).filter(share >= coverage).select(F.col("doc_id").alias("__bad")).distinct()
-    bad = small(settle(bad, "tiling-bad"))
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    bad = coverages(documents, benchmark, tile).filter(share >= coverage).select("doc_id", "alone").distinct()
+    bad = settle(bad, "tiling-bad")
+    named = small(bad.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__bad")))
+    nameless = small(bad.filter("doc_id IS NULL").select(F.col("alone").alias("__bad")))
+    known, unknown = documents.filter("doc_id IS NOT NULL"), documents.filter("doc_id IS NULL")
+    kept = known.join(named, known["doc_id"] == named["__bad"], "left_anti")
+    return kept.unionByName(unknown.join(nameless, _digest() == nameless["__bad"], "left_anti"))

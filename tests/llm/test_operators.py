@@ -540,6 +540,13 @@ def test_contamination(spark):
     assert kept.columns == docs(spark, rows).columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
     assert string_tiling.contamination(docs(spark, rows).limit(0), bench).count() == 0
     assert string_tiling.decontaminate(docs(spark, rows), bench.limit(0)).count() == len(rows)
+    # Rows without an id are judged each by its own text, whatever the others are.
+    nameless = [(None, "clean words of a quiet garden behind the old house"), (None, None), (None, ""), *[r for r in rows if r[0] is None] * 2]
+    clashing = docs(spark, nameless).withColumn("__bad", F.lit("x")).withColumn("alone", F.lit("y")).withColumn("digest", F.lit("z"))
+    judged = Counter(tuple(r) for r in string_tiling.contamination(clashing, bench).select("item_id", "contaminated").collect())
+    assert judged == {(None, False): 3, (1, True): 2}
+    kept = string_tiling.decontaminate(clashing, bench)
+    assert kept.columns == clashing.columns and Counter(r["text"] for r in kept.collect()) == Counter(r[1] for r in nameless[:3])
 
 
 # --- token shards
