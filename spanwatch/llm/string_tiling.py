@@ -5,8 +5,8 @@ can share a tile of ``tile`` tokens only if they share a token run of that lengt
 seeds. Karp-Rabin hashes of all runs of the items fill a bit array of fixed size, which goes to all
 tasks; a document gives on only the stretches of tokens whose runs may occur in an item, which for
 most documents are none. Their runs are joined with those of the items; each pair found is tiled:
-longest common stretches of unmarked tokens are marked, longest first, found by running
-Karp-Rabin hashes of a length that shrinks. As tiles may lie in any order, reordered passages count.
+longest common stretches of unmarked tokens are marked, longest first. The next length is found by
+halving: running Karp-Rabin hashes of a length tell whether any stretch of it is common. As tiles may lie in any order, reordered passages count.
 The share of an item's tokens that is tiled is its coverage.
 """
 
@@ -81,12 +81,30 @@ def tiles(item: np.ndarray, stretches: list[np.ndarray], tile: int) -> list[tupl
     owner = np.repeat(np.arange(len(stretches)), [len(s) for s in stretches])
     free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
     out: list[tuple[int, int, int]] = []
-    length = min(len(item), max((len(s) for s in stretches), default=0))
-    while length >= tile:
+
+    def runs(length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Free runs (start, hash) of both sides whose hashes the other side has too."""
         left = _free_runs(run_hashes(item, length), free_item, length)
         right = _free_runs(run_hashes(text, length), free_text, length)
         begin = right[:, 0].astype(np.int64)
         right = right[owner[begin] == owner[begin + length - 1]]
+        left = left[np.isin(left[:, 1], right[:, 1])]
+        return left, right[np.isin(right[:, 1], left[:, 1])]
+
+    most = min(len(item), max((len(s) for s in stretches), default=0))
+    while most >= tile:
+        # The greatest length of a common run: each run holds all shorter ones.
+        length, found = tile, runs(tile)
+        if not len(found[0]):
+            break
+        while length < most:
+            middle = (length + most + 1) // 2
+            longer = runs(middle)
+            if len(longer[0]):
+                length, found = middle, longer
+            else:
+                most = middle - 1
+        left, right = found
         where: dict[int, list[int]] = {}
         for start, h in right.tolist():
             where.setdefault(h, []).append(start)
@@ -102,7 +120,7 @@ def tiles(item: np.ndarray, stretches: list[np.ndarray], tile: int) -> list[tupl
                     out.append((start, other, length))
                     break
         # The next length worth trying: no longer than what is left on both sides.
-        length = min(length - 1, _longest(free_item), _longest(free_text))
+        most = min(length - 1, _longest(free_item), _longest(free_text))
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -514,6 +515,15 @@ def test_tiles(item, text, tile):
     assert sum(n for _, _, n in found) <= len(item)
 
 
+def test_tiles_of_long_texts():
+    """Halving the length, not stepping down: twenty thousand tokens a side with one common tile."""
+    item, text = np.arange(20_000, dtype=np.uint64), np.arange(20_000, 40_000, dtype=np.uint64)
+    text[7_000:7_900] = item[100:1_000]
+    start = time.perf_counter()
+    assert string_tiling.tiles(item, [text], 5) == [(100, 7_000, 900)]
+    assert time.perf_counter() - start < 5
+
+
 def test_run_hashes():
     draw = np.random.default_rng(2)
     tokens = draw.integers(0, 3, 300).astype(np.uint64)
