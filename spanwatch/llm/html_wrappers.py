@@ -12,7 +12,7 @@ part, and a host with a third of all pages reaches one task as a few wrappers on
 
 In the wrapper, slots show where a host's pages differ. The path to the element that holds their
 main text is the host's rule; pages are then cut by that rule, or by their own shape where it does
-not fit.
+not fit. Trees are walked with lists of open work, so that elements may be nested to any depth.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -56,6 +58,8 @@ ENDED_BY = {
     "th": {"td", "th"},
     "option": {"option"},
 }
+# What holds the parts of a page itself; its header is the site's, that of an article the article's.
+PAGE = ("", "html", "body")
 FENCES = set("article section div main table td th ul ol dl nav header footer aside form body html".split())
 
 # Elements and names in class, id and role that mark what is not main text.
@@ -95,12 +99,13 @@ class Part:
     slot_chars: int = 0
     optional: bool = False
     repeated: bool = False
+    page_level: bool = False  # of a page: directly in its body
 
 
 def parse(page: str | None) -> Part:
     """The page as nested parts; unclosed and stray tags are mended the way browsers mostly do."""
     root = Part("")
-    stack = [root]
+    stack, opened = [root], Counter()
     page = page or ""
     at = 0
 
@@ -119,47 +124,57 @@ def parse(page: str | None) -> Part:
             continue
         tag = token[2].lower()
         if token[1]:
-            _close(stack, tag)
+            _close(stack, opened, tag)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page) if tag in ("script", "style") else at
             continue
         if tag in BLOCK:
-            _end_inside(stack, {"p"})
+            _end_inside(stack, opened, {"p"})
         if tag in ENDED_BY:
-            _end_inside(stack, ENDED_BY[tag])
-        part = Part(_label(tag, token[3]))
+            _end_inside(stack, opened, ENDED_BY[tag])
+        part = Part(_label(tag, token[3]), page_level=_tag(stack[-1]) in PAGE)
         stack[-1].parts.append(part)
         if tag not in VOID and not token[3].endswith("/"):
             stack.append(part)
+            opened[tag] += 1
 
 
 def _tag(part: Part) -> str:
     return part.label.partition(".")[0]
 
 
-def _close(stack: list[Part], tag: str) -> None:
+def _close(stack: list[Part], opened: Counter, tag: str) -> None:
+    if not opened[tag]:
+        return
     for k in range(len(stack) - 1, 0, -1):
         own = _tag(stack[k])
         if own == tag:
-            del stack[k:]
+            _end(stack, opened, k)
             return
         if own in FENCES and tag not in BLOCK:
             return
 
 
-def _end_inside(stack: list[Part], tags: set[str]) -> None:
+def _end_inside(stack: list[Part], opened: Counter, tags: set[str]) -> None:
     """End the nearest open element of ``tags`` that no fence hides."""
+    if not any(opened[t] for t in tags):
+        return
     for k in range(len(stack) - 1, 0, -1):
         own = _tag(stack[k])
         if own in tags:
-            del stack[k:]
+            _end(stack, opened, k)
             return
         if own in FENCES - tags:
             return
 
 
+def _end(stack: list[Part], opened: Counter, k: int) -> None:
+    opened.subtract(map(_tag, stack[k:]))
+    del stack[k:]
+
+
 def _label(tag: str, attributes: str) -> str:
     if "=" not in attributes:
         return tag
@@ -184,13 +199,25 @@ def _marks_boiler(name: str) -> bool:
     return not NOT_TEXT_NAMES.isdisjoint(words) and all(w in NOT_TEXT_NAMES or w in BESIDE for w in words)
 
 
+def _preorder(part: Part) -> list[Part]:
+    """A part and all below it, each before its own parts."""
+    out, todo = [], [part]
+    while todo:
+        out.append(todo.pop())
+        todo.extend(reversed(out[-1].parts))
+    return out
+
+
 def as_wrapper(part: Part) -> Part:
     """A page as the wrapper of itself: fixed texts only, repetitions folded, white space left out."""
-    if part.label == "#":
-        n = len(part.text)
-        return Part("#", fixed=xxhash.xxh64_intdigest(part.text.strip()), chars=n)
-    out = Part(part.label, parts=fold([as_wrapper(p) for p in part.parts if p.label != "#" or not p.text.isspace()]))
-    return _summed(out)
+    done: dict[int, Part] = {}
+    for p in reversed(_preorder(part)):
+        if p.label == "#":
+            done[id(p)] = Part("#", fixed=xxhash.xxh64_intdigest(p.text.strip()), chars=len(p.text))
+        else:
+            inside = [done.pop(id(q)) for q in p.parts if q.label != "#" or not q.text.isspace()]
+            done[id(p)] = _summed(Part(p.label, parts=fold(inside)))
+    return done[id(part)]
 
 
 def _summed(part: Part) -> Part:
@@ -226,19 +253,36 @@ def fold(parts: list[Part]) -> list[Part]:
 
 def merge(a: Part, b: Part) -> Part:
     """One part that fits what fits ``a`` or ``b``, which have the same label."""
+    # Pairs whose parts are not aligned yet, outer before inner: a merged part's label and flags are
+    # known at once, and what it is merged from stands before it.
+    todo: list[tuple[Part, Part, Part]] = []
+    whole = _merged(a, b, todo)
+    for out, left, right in todo:  # grows on the way
+        out.parts = align(left.parts, right.parts, todo)
+    for out, _, _ in reversed(todo):
+        _summed(out)
+    return whole
+
+
+def _merged(a: Part, b: Part, todo: list[tuple[Part, Part, Part]]) -> Part:
     optional, repeated = a.optional or b.optional, a.repeated or b.repeated
     if a.label == "#":
         chars = a.chars + b.chars
         same = a.fixed is not None and a.fixed == b.fixed
         return Part("#", fixed=a.fixed if same else None, chars=chars, slot_chars=0 if same else chars, optional=optional)
-    out = Part(a.label, parts=align(a.parts, b.parts), optional=optional, repeated=repeated)
-    return _summed(out)
+    out = Part(a.label, optional=optional, repeated=repeated)
+    todo.append((out, a, b))
+    return out
+
 
+def align(left: list[Part], right: list[Part], todo: list[tuple[Part, Part, Part]]) -> list[Part]:
+    """Both sequences as one; at a mismatch the shorter way to agreement is skipped as optional.
 
-def align(left: list[Part], right: list[Part]) -> list[Part]:
-    """Both sequences as one; at a mismatch the shorter way to agreement is skipped as optional."""
+    Parts of merged elements are left to ``todo``.
+    """
     out: list[Part] = []
     i = j = 0
+    in_left, in_right = _places(left), _places(right)
 
     def skip(part: Part) -> None:
         part.optional = True
@@ -246,11 +290,10 @@ def align(left: list[Part], right: list[Part]) -> list[Part]:
 
     while i < len(left) and j < len(right):
         if left[i].label == right[j].label:
-            out.append(merge(left[i], right[j]))
+            out.append(_merged(left[i], right[j], todo))
             i, j = i + 1, j + 1
             continue
-        ahead = next((k for k in range(j + 1, len(right)) if right[k].label == left[i].label), None)
-        behind = next((k for k in range(i + 1, len(left)) if left[k].label == right[j].label), None)
+        ahead, behind = _next(in_right, left[i].label, j), _next(in_left, right[j].label, i)
         if ahead is not None and (behind is None or ahead - j <= behind - i):
             for part in right[j:ahead]:
                 skip(part)
@@ -266,27 +309,46 @@ def align(left: list[Part], right: list[Part]) -> list[Part]:
     for part in left[i:] + right[j:]:
         skip(part)
     # Optional parts of one label side by side are one repeated part.
-    return _joined(out)
+    return _joined(out, todo)
 
 
-def _joined(parts: list[Part]) -> list[Part]:
+def _places(parts: list[Part]) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for at, part in enumerate(parts):
+        out.setdefault(part.label, []).append(at)
+    return out
+
+
+def _next(places: dict[str, list[int]], label: str, at: int) -> int | None:
+    """The first place of a label after ``at``."""
+    found = places.get(label, [])
+    k = bisect_right(found, at)
+    return found[k] if k < len(found) else None
+
+
+def _joined(parts: list[Part], todo: list[tuple[Part, Part, Part]]) -> list[Part]:
     out: list[Part] = []
     for part in parts:
         if out and part.label == out[-1].label != "#" and (part.optional or out[-1].optional):
-            part = merge(out.pop(), part)
+            part = _merged(out.pop(), part, todo)
             part.repeated = True
         out.append(part)
     return out
 
 
 def dump(part: Part) -> list:
-    flags = part.optional + 2 * part.repeated
-    return [part.label, flags, part.fixed, part.chars, part.slot_chars, [dump(p) for p in part.parts]]
+    """One row per part, each before its own parts; the last field counts those."""
+    return [
+        [p.label, p.optional + 2 * p.repeated, p.fixed, p.chars, p.slot_chars, len(p.parts)] for p in _preorder(part)
+    ]
 
 
-def load(row: list) -> Part:
-    label, flags, fixed, chars, slots, parts = row
-    return Part(label, [load(p) for p in parts], "", fixed, chars, slots, bool(flags & 1), bool(flags & 2))
+def load(rows: list) -> Part:
+    done: list[Part] = []
+    for label, flags, fixed, chars, slots, n in reversed(rows):
+        inside = [done.pop() for _ in range(n)]
+        done.append(Part(label, inside, "", fixed, chars, slots, bool(flags & 1), bool(flags & 2)))
+    return done[0]
 
 
 def _is_main(label: str) -> bool:
@@ -303,44 +365,61 @@ def main_path(wrapper: Part) -> list[str]:
     following the child with over 60% of the slot text (of all text, if a host has one page only).
     Parts that cannot be main text are left out, unless a mere name or form holds over 60% of all text.
     """
-    found: list[tuple[int, list[str]]] = []
-
-    def visit(part: Part, path: list[str], marks: bool) -> None:
-        for p in part.parts:
-            if p.label == "*":
-                visit(p, path, marks)
-            elif p.label != "#" and not _boiler(p.label, marks):
-                own = [*path, p.label]
-                if _is_main(p.label):
-                    found.append((p.chars, own))
-                visit(p, own, marks)
-
-    visit(wrapper, [], True)
+    # Paths by number: the number of the path above, and the last label.
+    above: list[tuple[int, str]] = []
+    numbers: dict[tuple[int, str], int] = {}
+    # Main elements: characters, path, path of the outermost main element, articles below that.
+    found: list[tuple[int, int, int, int]] = []
+
+    def visit(marks: bool) -> None:
+        todo = [(p, -1, -1, 0) for p in reversed(wrapper.parts)]
+        while todo:
+            part, path, outer, articles = todo.pop()
+            if part.label != "*":
+                if part.label == "#" or _boiler(part.label, marks):
+                    continue
+                key = path, part.label
+                path = numbers.setdefault(key, len(above))
+                if path == len(above):
+                    above.append(key)
+                if outer >= 0:
+                    articles += _tag(part) == "article"
+                if _is_main(part.label):
+                    outer = path if outer < 0 else outer
+                    found.append((part.chars, path, outer, articles))
+            todo += [(p, path, outer, articles) for p in reversed(part.parts)]
+
+    visit(True)
     if not found:
-        visit(wrapper, [], False)
+        visit(False)
     if found:
-        outer = [(chars, path) for chars, path in found if not any(_is_main(x) for x in path[:-1])]
-        best, path = max(outer, key=lambda x: x[0])
-        if path[-1].partition(".")[0] != "article":
+        best, path = max(((f[0], f[1]) for f in found if f[1] == f[2]), key=lambda x: x[0])
+        if above[path][1].partition(".")[0] != "article":
             inside = [
                 (chars, own)
-                for chars, own in found
-                if own[: len(path)] == path and [x.partition(".")[0] for x in own[len(path) :]].count("article") == 1
-                and own[-1].partition(".")[0] == "article" and 2 * chars >= best
+                for chars, own, outer, articles in found
+                if outer == path and articles == 1 and above[own][1].partition(".")[0] == "article" and 2 * chars >= best
             ]
             path = max(inside, key=lambda x: x[0], default=(best, path))[1]
-        return path
+        labels = []
+        while path >= 0:
+            path, label = above[path]
+            labels.append(label)
+        return labels[::-1]
     path: list[str] = []
     here, mass = wrapper, (lambda p: p.slot_chars) if wrapper.slot_chars else (lambda p: p.chars)
     most = 0.6 * mass(wrapper)
     while True:
         inside = [q for p in here.parts for q in (p.parts if p.label == "*" else [p])]
         inside = [p for p in inside if p.label != "#" and not _boiler(p.label, mass(p) <= most)]
+        if _tag(here) in PAGE:
+            inside = [p for p in inside if _tag(p) != "header"]
         top = max(inside, key=mass, default=None)
         total = sum(mass(p) for p in inside)
         if top is None or top.repeated or not total or mass(top) <= 0.6 * total or _tag(top) == "p":
             return path
-        path, here = [*path, top.label], top
+        path.append(top.label)
+        here = top
 
 
 def _at(part: Part, path: list[str]) -> list[Part]:
@@ -357,34 +436,32 @@ def blocks_of(parts: list[Part]) -> list[str]:
     held: list[str] = []
 
     def flush() -> None:
-        blank = all(t.isspace() for t in held)
         text = _BLANKS.sub(" ", entities.unescape("".join(held))).strip(" ")
         held.clear()
-        if text and not blank:
+        if text and not text.isspace():
             out.append(text)
 
-    def visit(part: Part) -> None:
-        if part.label == "#":
-            held.append(part.text)
-            return
-        if _boiler(part.label):
-            flush()
-            return
-        tag = _tag(part)
-        if tag == "br":
-            held.append(" ")
-            return
-        if tag in BLOCK:
-            flush()
-        for p in part.parts:
-            visit(p)
-        if tag in BLOCK:
-            flush()
-
     for part in parts:
-        for p in part.parts:
-            visit(p)
-        flush()
+        # None ends a block.
+        todo: list[Part | None] = [None, *reversed(part.parts)]
+        while todo:
+            p = todo.pop()
+            if p is None:
+                flush()
+                continue
+            if p.label == "#":
+                held.append(p.text)
+                continue
+            tag = _tag(p)
+            if _boiler(p.label) or (p.page_level and tag == "header"):
+                flush()
+            elif tag == "br":
+                held.append(" ")
+            else:
+                if tag in BLOCK:
+                    flush()
+                    todo.append(None)
+                todo.extend(reversed(p.parts))
     return out
 
 

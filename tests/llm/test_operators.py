@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import time
@@ -462,6 +463,39 @@ def test_main_text(spark):
     assert html_wrappers.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("nest", ["<div>", "<span>", "<blockquote>", "<article>", "<p>", "<ul><li>", "<div class='a'>x<b>"])
+def test_deep_markup(nest):
+    """A hundred thousand nested elements pass every step that a page and its host's wrapper pass."""
+    page = nest * (100_000 // nest.count("<"))
+    one = html_wrappers.as_wrapper(html_wrappers.parse(page + "deep words"))
+    both = html_wrappers.merge(one, html_wrappers.as_wrapper(html_wrappers.parse(page + "other words")))
+    rows = json.loads(json.dumps(html_wrappers.dump(both)))
+    assert html_wrappers.dump(html_wrappers.load(rows)) == html_wrappers.dump(both)
+    path = html_wrappers.main_path(html_wrappers.load(rows))
+    assert html_wrappers.extract(page + "deep words", path).endswith("deep words")
+
+
+def test_deep_page_beside_others(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://h.org/1", "<div>" * 3_000 + "deep words"), (2, "http://h.org/2", "<article><p>a plain page</p></article>")],
+        "page_id long, url string, html string",
+    )
+    assert rows_of(html_wrappers.main_text(pages).select("page_id", "text")) == [(1, "deep words"), (2, "a plain page")]
+
+
+def test_blank_blocks_and_page_headers():
+    text = lambda page: html_wrappers.extract(page, None)
+    assert text("<article><p>a</p><p>&nbsp;</p><p>b</p></article>") == "a\nb"
+    assert text("<body><header>Site name</header><h1>T</h1><p>a</p></body>") == "T\na"
+    assert text("<body><article><header><h1>T</h1></header><p>a</p></article></body>") == "T\na"
+
+
+def test_align_takes_the_shorter_way():
+    part = lambda labels: [html_wrappers.Part(x) for x in labels]
+    for left, right, both in [("abc", "axbc", "axbc"), ("abc", "cab", "cabc"), ("ab", "cd", "acbd"), ("", "ab", "ab")]:
+        assert "".join(p.label for p in html_wrappers.align(part(left), part(right), [])) == both
+
+
 def test_white_space_between_inline_elements():
     text = lambda page: html_wrappers.extract(page, None)
     assert text("<p><b>a</b> <i>b</i></p>") == "a b"
