@@ -559,6 +559,20 @@ ORACLE["s3_file_scan"] = (
   CASE WHEN site = 'P005' AND family = 'str' THEN ts + INTERVAL '1 minute' ELSE ts END AS ts, {r6('value')} AS value
 FROM readings WHERE NOT (site = 'P004' AND family = 'tmp')"""
 )
+ORACLE["s2_asked_files"] = (
+    with_(readings(*BIG_SHEET))
+    + """, files AS (
+  SELECT DISTINCT site, family, strftime(ts, '%Y-%m') AS month,
+    CASE WHEN day(ts) < 11 THEN '-0' ELSE '-1' END AS tens
+  FROM readings WHERE NOT (site = 'P004' AND family = 'tmp')),
+asked AS (
+  SELECT site, family, month, tens FROM (SELECT DISTINCT site FROM readings), (SELECT DISTINCT family FROM readings),
+    (SELECT DISTINCT strftime(ts, '%Y-%m') AS month FROM readings), (VALUES (''), ('-0'), ('-1')) t(tens))
+SELECT a.site, a.month || a.tens AS asked, a.family, count(f.site)::BIGINT AS n_files
+FROM asked a LEFT JOIN files f
+  ON f.site = a.site AND f.family = a.family AND f.month = a.month AND starts_with(f.tens, a.tens)
+GROUP BY 1, 2, 3"""
+)
 ORACLE["s5_control_csv"] = (
     with_(control_with())
     + f"""SELECT {K}, ts, {r6('z')} AS z FROM control

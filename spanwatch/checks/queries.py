@@ -18,7 +18,7 @@ from spanwatch.plans import prepare as prep
 from spanwatch.plans import report as rep
 from spanwatch.plans import run
 from spanwatch.plans import score as sco
-from spanwatch.sources import families, kpis, models, paths, stages
+from spanwatch.sources import families, kpis, manifest, models, paths, stages
 
 QUERIES = {}
 RUN_DATE = date(2024, 2, 5)
@@ -196,6 +196,15 @@ def s3_file_scan(spark, sf_dir):
     )
 
 
+@query
+def s2_asked_files(spark, sf_dir):
+    """Files of every site, family and period asked for, months and tens of days; P004 has none of a family."""
+    folder, sources, periods = _family_files(spark, sf_dir)
+    sources["P004"] = sources["P004"] | {"tmp_path": f"{folder}/tmp/"}
+    asked = [x for p in periods for x in (p, f" {p}-0", f"{p}-1")]
+    return manifest.asked_files(spark, sources, asked).select("site", "asked", "family", "n_files")
+
+
 @query
 def c8_run_all(spark, sf_dir):
     """The whole job over family files of five sites: its summary as written."""

@@ -15,7 +15,7 @@ from spanwatch import schema as S
 from spanwatch.functions.text import sensor_number
 from spanwatch.operators.chunks import bucket_start
 from spanwatch.operators.readings import keep_first
-from spanwatch.sources import paths
+from spanwatch.sources import manifest, paths
 
 _TIME_COLUMNS = ("datetime", "time")
 _FAMILY_STRIDE = 100_000
@@ -149,13 +149,17 @@ def read_readings(
 def without_files(
     spark: SparkSession, sources: Mapping[str, Mapping[str, str]], periods: Sequence[str]
 ) -> dict[tuple[str, str], str]:
-    """The (site, period) pairs of which a family given has no file, and that family."""
+    """The (site, period) pairs of which a family given has no file, and that family (the last of several).
+
+    Folders are listed once each, not once for every pair; what is collected are the pairs that fail.
+    """
+    absent = manifest.asked_files(spark, sources, periods).where("n_files = 0")
+    lost: dict[tuple[str, str], str] = {}
+    for r in absent.select("site", "asked", "family").collect():
+        pair = r["site"], r["asked"]
+        lost[pair] = max(lost.get(pair, r["family"]), r["family"], key=list(S.FAMILY_FOLDERS.values()).index)
     return {
-        (site, ym): family
-        for site, folders in sources.items()
-        for ym in periods
-        for family, glob in paths.family_globs(folders, site, ym.strip()).items()
-        if not paths.matching(spark, [glob])
+        (site, ym): lost[site, ym.strip()] for site in sources for ym in periods if (site, ym.strip()) in lost
     }
 
 

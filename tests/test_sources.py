@@ -15,7 +15,7 @@ from spanwatch.plans import report as rep
 from spanwatch.plans import score as sco
 from spanwatch.plans.prepare import NoDataError
 from spanwatch.plans.run import run_all
-from spanwatch.sources import families, kpis, labels, models, object_store, paths, stages
+from spanwatch.sources import families, kpis, labels, manifest, models, object_store, paths, stages
 from tests import frames
 
 LABELS = "label,id\nICD Nord,ICD1_x\nICD Nord,ICD1_y\nPOT Giunto,POT1_s\nEST Trave,EST1_e\nTermometro,TMP1_t\n"
@@ -533,6 +533,39 @@ def test_a_day_without_files_of_a_family(spark, bridge, tmp_path):
     assert rows(whole) == rows(out)
 
 
+def test_folders_are_listed_once_for_all_pairs(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "a b+c"
+    (folder / "old").mkdir(parents=True)
+    for name in ("P1_2025-01-01_rot", "P1_2025-01-02_rot", "P1_2025-01-01_tmp", "P10_2025-01_rot", "old/P2_2025-01_rot", "P3_rot"):
+        (folder / f"{name}.parquet").write_bytes(b"12345")
+    (folder / "P4_2025-01_rot.parquet").mkdir()
+    for part in ("part-0", "part-1"):
+        (folder / "P4_2025-01_rot.parquet" / f"{part}.parquet").write_bytes(b"123")
+    every = {"incl_path": f"{folder}/", "tmp_path": f"{folder}"}
+    sources = {f"P{k}": every for k in range(1, 11)} | {"none": {"incl_path": f"{tmp_path}/nowhere"}, "bare": {}}
+    found = {
+        (r["site"], r["asked"], r["family"]): (r["n_files"], r["bytes"])
+        for r in manifest.asked_files(spark, sources, ["2025-01", " 2025-01-02 "]).collect()
+    }
+    assert len(found) == 2 * (2 * 10 + 1)
+    assert {k: v for k, v in found.items() if v[0]} == {
+        ("P1", "2025-01", "rot"): (2, 10),
+        ("P1", "2025-01-02", "rot"): (1, 5),
+        ("P1", "2025-01", "tmp"): (1, 5),
+        ("P10", "2025-01", "rot"): (1, 5),
+        ("P4", "2025-01", "rot"): (1, 6),
+    }
+    calls = []
+    matching = paths.matching
+    monkeypatch.setattr(paths, "matching", lambda spark, globs: calls.extend(globs) or matching(spark, globs))
+    months = [f"{2000 + k // 12}-{k % 12 + 1:02d}" for k in range(100)]
+    assert len(families.without_files(spark, sources, months)) == 1_100
+    # Two folders are looked up, and the one that is there is listed; not one call for every pair.
+    assert len(calls) == 3
+    assert families.without_files(spark, {"P1": every}, ["2025-01", "2025-01-02"]) == {("P1", "2025-01-02"): "tmp"}
+    assert families.without_files(spark, {}, ["2025-01"]) == families.without_files(spark, {"P1": every}, []) == {}
+
+
 def test_a_mistyped_folder_erases_nothing(spark, bridge, tmp_path):
     folder, folders, _ = bridge
     _, sources = _two_sites(tmp_path, folders)
