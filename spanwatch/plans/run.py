@@ -18,8 +18,7 @@ from spanwatch.plans.prepare import NoDataError, prepare
 from spanwatch.plans.report import Report, report
 from spanwatch.plans.score import score
 from spanwatch.sources.families import read_readings, without_files
-from spanwatch.sources.paths import matching
-from spanwatch.sources.stages import only, read_stage, reuse_stage, settle, write_stage
+from spanwatch.sources.stages import only, read_stage, reuse_stage, settle, stored_pairs, write_stage
 
 
 @dataclass
@@ -62,7 +61,8 @@ def run_prepare(
         return Outcome(failed, read, [], dict.fromkeys(read, "no timestamp common to its families"))
     failed += [(r["site"], r["period"], r["period"], r["reason"]) for r in done.quarantine.collect()]
     lost = {f[:2] for f in failed if len(f[2]) == 7}
-    computed = [pair for pair in wanted if pair in set(read) - lost]
+    kept = set(read) - lost
+    computed = [pair for pair in wanted if pair in kept]
     for name in PREPARED:
         write_stage(getattr(done, name), output, name, computed)
     pairs = lambda df: {tuple(r) for r in df.select(*S.SITE_KEYS).distinct().collect()}
@@ -100,13 +100,14 @@ def _wanted(sources: Mapping[str, Mapping[str, str]], periods: Sequence[str]) ->
 def _status(spark: SparkSession, output: str, wanted: list[tuple[str, str]], done: Outcome) -> list[tuple[str, str, str]]:
     """Site, period, status: done, why there is nothing, or what failed and whether old results stay."""
     reasons = {(site, month): reason for site, month, _, reason in reversed(done.failed)}
+    computed = set(done.computed)
+    old = stored_pairs(spark, output, "summary", [pair for pair in wanted if pair not in computed])
     rows = []
     for pair in wanted:
-        if pair in done.computed:
+        if pair in computed:
             rows.append((*pair, done.empty.get(pair, "done")))
-            continue
-        old = matching(spark, [f"{output.rstrip('/')}/summary/site={pair[0]}/period={pair[1]}"])
-        rows.append((*pair, reasons[pair] + ("; stale: results of an earlier run stay" if old else "")))
+        else:
+            rows.append((*pair, reasons[pair] + ("; stale: results of an earlier run stay" if pair in old else "")))
     return rows
 
 
@@ -136,8 +137,7 @@ def run_all(
     """
     wanted = _wanted(sources, periods)
     days = [(site, ym.strip()[:7]) for site in sources for ym in periods if len(ym.strip()) > 7]
-    folders = [f"{output.rstrip('/')}/control/site={site}/period={month}" for site, month in days]
-    if folders and not reuse_control and matching(spark, folders):
+    if days and not reuse_control and stored_pairs(spark, output, "control", days):
         raise ValueError(f"a day would replace the results of its month: {days}")
     if reuse_control:
         done = Outcome([], wanted, wanted, {})

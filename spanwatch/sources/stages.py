@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +49,26 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _files(spark: SparkSession, table: str, pairs: Sequence[tuple[str, str]]) -> dict[str, set[str]]:
-    """Names of the files in the folders of the pairs, by folder."""
-    folders = [f"{table}/site={site}/period={period}" for site, period in pairs]
-    return {f: {x.rpartition("/")[2] for x in matching(spark, [f"{f}/*"])} for f in folders}
+def _files(
+    spark: SparkSession, table: str, pairs: Sequence[tuple[str, str]]
+) -> dict[tuple[str, str], set[str]]:
+    """Names of the files of each pair. The table is listed once, by Spark's file index, for all pairs."""
+    found: dict[tuple[str, str], set[str]] = {pair: set() for pair in pairs}
+    if not found or not matching(spark, [table]):
+        return found
+    index = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(table)
+    by_folder = {f"site={site}/period={period}": names for (site, period), names in found.items()}
+    for path in map(unquote, index.inputFiles()):
+        *_, site, period, name = path.rsplit("/", 3)
+        by_folder.get(f"{site}/{period}", set()).add(name)
+    return found
+
+
+def stored_pairs(
+    spark: SparkSession, folder: str, name: str, wanted: Sequence[tuple[str, str]]
+) -> set[tuple[str, str]]:
+    """Those of the wanted (site, period) pairs of which a table of results has files."""
+    return {pair for pair, names in _files(spark, f"{folder.rstrip('/')}/{name}", wanted).items() if names}
 
 
 def write_stage(
@@ -73,8 +90,8 @@ def write_stage(
         .parquet(table)
     )
     after = _files(spark, table, wanted)
-    for stale in [f for f, names in before.items() if names & after[f]]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(stale)
+    for site, period in [pair for pair, names in before.items() if names & after[pair]]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/site={site}/period={period}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

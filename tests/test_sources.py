@@ -566,6 +566,24 @@ def test_folders_are_listed_once_for_all_pairs(spark, tmp_path, monkeypatch):
     assert families.without_files(spark, {}, ["2025-01"]) == families.without_files(spark, {"P1": every}, []) == {}
 
 
+def test_result_tables_are_listed_once_for_all_pairs(spark, tmp_path, monkeypatch):
+    rows = lambda *pairs: spark.createDataFrame([(*p, 1) for p in pairs], "site string, period string, n int")
+    out, first, second, third = f"{tmp_path}/o t", ("A b", "2025-01"), ("A:b+%", "2025-01"), ("C", "2025-02")
+    assert stages.stored_pairs(spark, out, "t", [first]) == set()
+    stages.write_stage(rows(first, second, third), out, "t", [first, second, third])
+    calls = []
+    matching = stages.matching
+    monkeypatch.setattr(stages, "matching", lambda spark, globs: calls.extend(globs) or matching(spark, globs))
+    many = [("C", f"{y}-{m:02d}") for y in range(2000, 2080) for m in range(1, 13)]
+    assert stages.stored_pairs(spark, out, "t", [first, *many]) == {first, third}
+    stages.write_stage(rows(third), out, "t", [first, *many])
+    assert len(calls) == 3
+    assert stages.stored_pairs(spark, out, "t", [first, third]) == {third}
+    assert {r["site"] for r in stages.read_stage(spark, out, "t").collect()} == {"A:b+%", "C"}
+    stages.write_stage(rows().limit(0), out, "t", [third])
+    assert stages.stored_pairs(spark, out, "t", [first, third]) == set()
+
+
 def test_a_mistyped_folder_erases_nothing(spark, bridge, tmp_path):
     folder, folders, _ = bridge
     _, sources = _two_sites(tmp_path, folders)
