@@ -41,6 +41,10 @@ def docs(spark, rows):
     return spark.createDataFrame(full, DOCS).repartition(3)
 
 
+def rows_of_list(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
 def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -143,10 +147,75 @@ def test_mix(spark):
     assert entropy_mix.mix_plan(docs(spark, rows).limit(0)).count() == 0
 
 
+def tilted_words(targets, mu, cap):
+    """Words taken of each class, with every source at its target, by plain bisection."""
+    taken = [0.0] * len(mu)
+    for _, size, masses, target in targets:
+        if not 0 < target < cap * size:
+            for c, m in enumerate(masses):
+                taken[c] += m * target / size if size else 0.0
+            continue
+        part = lambda l: [m * cap / (1 + math.exp(-l - t)) for m, t in zip(masses, mu)]  # noqa: E731, B023, E741
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            half = (low + high) / 2
+            low, high = (half, high) if sum(part(half)) < target else (low, half)
+        for c, words in enumerate(part(low)):
+            taken[c] += words
+    return taken
+
+
 def test_tilt(spark):
-    targets = spark.createDataFrame([("a", 100, 200.0), ("b", 1_000_000, 3.0), ("c", 10, 10.0), ("d", 5, 0.0), ("e", 0, 0.0)], "source string, source_size long, target double")
-    rates = {r["source"]: r["rate"] for r in entropy_mix.tilt(targets).collect()}
-    assert rates == pytest.approx({"a": 2.0, "b": 3e-6, "c": 1.0, "d": 0.0, "e": 0.0})
+    k = entropy_mix.CLASSES
+    masses = lambda *m: [float(x) for x in m] + [0.0] * (k - len(m))
+    rows = [
+        ("a", 100, masses(0, 60, 40), 200.0),
+        ("b", 9_000, masses(100, 900, 8_000), 6_000.0),
+        (None, 5_000, masses(3_000, 1_500, 500), 7_000.0),
+        ("d", 5, masses(5), 0.0),
+        ("e", 0, masses(), 0.0),
+    ]
+    targets = spark.createDataFrame(rows, "source string, source_size long, masses array<double>, target double")
+    mu = entropy_mix.class_multipliers(targets, 2.0)
+    total, wanted = sum(r[1] for r in rows), sum(r[3] for r in rows)
+    # The dual's conditions hold, by a plain solution of the sources.
+    taken = tilted_words(rows, mu, 2.0)
+    corpus = [sum(r[2][c] for r in rows) for c in range(k)]
+    for c in range(k):
+        assert wanted * corpus[c] / total - taken[c] - entropy_mix.SLACK * total * mu[c] == pytest.approx(0, abs=1e-4)
+    # Shares of the classes are nearer to the corpus than without their multipliers.
+    miss = lambda words: sum(abs(w / sum(words) - m / total) for w, m in zip(words, corpus))
+    assert miss(taken) < 0.7 * miss(tilted_words(rows, [0.0] * k, 2.0))
+    rates = {r["source"]: r["rates"] for r in entropy_mix.tilt(targets).collect()}
+    assert rates["a"] == [2.0] * k and rates["d"] == rates["e"] == [0.0] * k
+    for source, _, m, target in rows[1:3]:
+        assert sum(r * x for r, x in zip(rates[source], m)) == pytest.approx(target, rel=1e-8)
+        assert len(set(rates[source])) > 2 and all(0 < r < 2 for r in rates[source])
+        odds = [math.log(r / (2 - r)) for r in rates[source]]
+        assert [o - odds[0] for o in odds] == pytest.approx([t - mu[0] for t in mu], abs=1e-5)
+
+
+def test_mix_of_equal_rows(spark):
+    rows = [(None, "one two three four five", "a")] * 1_000 + [(None, "w " * (1 + k % 9), "b") for k in range(900)] + [(7, "x " * 5, "c")] * 400
+    plan = entropy_mix.mix_plan(docs(spark, rows)).collect()
+    again = entropy_mix.mix_plan(docs(spark, rows).repartition(5)).collect()
+    assert rows_of_list(plan) == rows_of_list(again) and len(plan) == len(rows)
+    for source in "abc":
+        mine = [r for r in plan if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 5 and max(r["copies"] for r in mine) <= 2
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(k % 40, f"{'w ' * (k % 30)}", "ab"[k % 2], k % 3, k, "r", k % 2) for k in range(300)] + [(1, "same", "a", 1, 1, "r", 1)] * 2_500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row int, copies int, s string, id0 int").repartition(3)
+    mixed = entropy_mix.mix_documents(df)
+    assert mixed.columns == df.columns
+    out = Counter(tuple(r) for r in mixed.collect())
+    assert set(out) <= set(rows) and all(n <= 2 * rows.count(r) for r, n in out.items())
+    targets = {r["source"]: r["target"] for r in entropy_mix.mix_plan(df).collect()}
+    for source, target in targets.items():
+        assert abs(sum(len(r[1].split()) * n for r, n in out.items() if r[2] == source) - target) <= 15
+    assert entropy_mix.mix_documents(df.limit(0)).count() == 0
 
 
 # --- preferences
