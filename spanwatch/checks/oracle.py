@@ -559,6 +559,12 @@ ORACLE["s3_file_scan"] = (
   CASE WHEN site = 'P005' AND family = 'str' THEN ts + INTERVAL '1 minute' ELSE ts END AS ts, {r6('value')} AS value
 FROM readings WHERE NOT (site = 'P004' AND family = 'tmp')"""
 )
+ORACLE["s3_own_ids"] = f"""WITH {feed()}, own AS (
+  SELECT period, ts, value, event_id % 40 AS k, (event_id // 40) % 30 AS j FROM feed WHERE value IS NOT NULL)
+SELECT format('S{{:02d}}', k) AS site, period, 'dsp' AS family, (100000 + j)::INTEGER AS sensor_order,
+  format('S{{:02d}}N{{:02d}}_s', k, j) AS sensor_id, ts,
+  {r6("CASE WHEN k % 4 = 0 AND j % 2 = 0 THEN floor(max(value)) ELSE max(value) END")} AS value
+FROM own GROUP BY period, ts, k, j"""
 ORACLE["s2_asked_files"] = (
     with_(readings(*BIG_SHEET))
     + """, files AS (

@@ -196,6 +196,49 @@ def s3_file_scan(spark, sf_dir):
     )
 
 
+OWN_SITES, OWN_SENSORS = 40, 30
+
+
+def _own_files(spark, sf_dir):
+    """Files of forty sites with thirty displacement sensors each that no other site has; sources and periods.
+
+    One file for each site and month; sites by fours write their even sensors as whole numbers.
+    """
+    folder = f"{stages.stage_folder(spark)}/spanwatch/own-{uuid.uuid4().hex}"
+    number = F.expr(f"(event_id div {OWN_SITES}) % {OWN_SENSORS}")
+    samples = E.feed(spark, sf_dir).where("value IS NOT NULL")
+    samples = samples.select("period", "ts", "value", (F.col("event_id") % OWN_SITES).alias("k"), number.alias("j"))
+    samples = stages.settle(samples, "own")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for k in range(OWN_SITES):
+        value = lambda j: F.max(F.when(F.col("j") == j, F.col("value")))
+        columns = [
+            (F.floor(value(j)).cast("long") if k % 4 == 0 and j % 2 == 0 else value(j)).alias(f"S{k:02d}N{j:02d}_s")
+            for j in range(OWN_SENSORS)
+        ]
+        wide = samples.where(F.col("k") == k).groupBy("period", F.col("ts").alias("datetime")).agg(*columns)
+        wide.repartition("period").write.partitionBy("period").parquet(f"{folder}/staged/{k}")
+        for found in paths.matching(spark, [f"{folder}/staged/{k}/period=*"]):
+            named = jvm.org.apache.hadoop.fs.Path(f"{folder}/dsp/S{k:02d}_{found[-7:]}_dsp.parquet")
+            system = named.getFileSystem(conf)
+            system.mkdirs(named.getParent())
+            system.rename(jvm.org.apache.hadoop.fs.Path(found), named)
+    there = manifest.family_files(spark, [f"{folder}/dsp"]).select("site", "period").distinct().collect()
+    sources = {r["site"]: {"spost_path": f"{folder}/dsp"} for r in there}
+    periods = sorted({r["period"] for r in there})
+    return sources, periods, {(s, p) for s in sources for p in periods} - {tuple(r) for r in there}
+
+
+@query
+def s3_own_ids(spark, sf_dir):
+    """Files of many sites, each with its own sensors, to readings."""
+    sources, periods, absent = _own_files(spark, sf_dir)
+    out = families.read_readings(spark, sources, periods, skip=absent)
+    return out.where("sensor_id IS NOT NULL").select(
+        *S.SITE_KEYS, "family", "sensor_order", "sensor_id", "ts", r6("value").alias("value")
+    )
+
+
 @query
 def s2_asked_files(spark, sf_dir):
     """Files of every site, family and period asked for, months and tens of days; P004 has none of a family."""

@@ -15,7 +15,7 @@ from spanwatch import schema as S
 from spanwatch.functions.text import sensor_number
 from spanwatch.operators.chunks import bucket_start
 from spanwatch.operators.readings import keep_first
-from spanwatch.sources import manifest, paths
+from spanwatch.sources import footers, manifest, paths
 
 _TIME_COLUMNS = ("datetime", "time")
 _FAMILY_STRIDE = 100_000
@@ -67,6 +67,24 @@ def _with_origin(files: DataFrame, numbers: bool = False) -> DataFrame:
     )
 
 
+def scan_layouts(spark: SparkSession, globs: Sequence[str], width: str = S.BUCKET) -> list[DataFrame]:
+    """Readings of the files, one frame for each family and set of columns that a site and month has.
+
+    Rows become one per sensor before the frames are united, so no plan has the columns of all sites.
+    """
+    together: dict[tuple[str, tuple[str, ...]], list[footers.Layout]] = {}
+    for layout in footers.layouts(spark, globs):
+        together.setdefault((layout.family, layout.columns), []).append(layout)
+    parts = []
+    for (family, _), group in together.items():
+        scans = [
+            _with_origin(spark.read.schema(layout.schema).parquet(*layout.files), numbers=len(group) > 1)
+            for layout in group
+        ]
+        parts.append(wide_readings(reduce(DataFrame.unionByName, scans), family, width))
+    return parts
+
+
 def _time(df: DataFrame) -> Column:
     found = [F.col(c).cast("timestamp_ntz") for c in _TIME_COLUMNS if c in df.columns]
     if not found:
@@ -121,8 +139,15 @@ def read_readings(
     width: str = S.BUCKET,
     schemas: Mapping[str, T.StructType] | None = None,
     skip: Collection[tuple[str, str]] = (),
+    own_columns: bool | None = None,
 ) -> DataFrame:
-    """Readings of many sites and periods: one scan per family.
+    """Readings of many sites and periods: one scan per family and set of columns.
+
+    Footers are read in tasks and sites with the same columns are scanned together, so that thousands
+    of sites with sensors of their own plan as well as one (``footers.layouts``). A sensor's order is
+    that in the files of its site and month. ``own_columns`` false, or unset where a task cannot open
+    the store by its address, merges all files of a family into one schema instead; families in
+    ``schemas`` are read as given.
 
     The (site, period) pairs in ``skip`` are left out, see ``without_files``.
 
@@ -139,10 +164,16 @@ def read_readings(
                 globs.setdefault(family, []).append(glob)
     if not globs:
         raise ValueError("no family folder given")
+    unknown = [glob for family, found in globs.items() if family not in (schemas or {}) for glob in found]
+    if own_columns is None:
+        own_columns = footers.can_open(unknown)
+    merged = [family for family in globs if not own_columns or family in (schemas or {})]
     parts = [
-        wide_readings(scan_family(spark, found, (schemas or {}).get(family)), family, width)
-        for family, found in globs.items()
+        wide_readings(scan_family(spark, globs[family], (schemas or {}).get(family)), family, width)
+        for family in merged
     ]
+    if own_columns and unknown:
+        parts += scan_layouts(spark, unknown, width)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import date
 
 import numpy as np
@@ -15,7 +16,7 @@ from spanwatch.plans import report as rep
 from spanwatch.plans import score as sco
 from spanwatch.plans.prepare import NoDataError
 from spanwatch.plans.run import run_all
-from spanwatch.sources import families, kpis, labels, manifest, models, object_store, paths, stages
+from spanwatch.sources import families, footers, kpis, labels, manifest, models, object_store, paths, stages
 from tests import frames
 
 LABELS = "label,id\nICD Nord,ICD1_x\nICD Nord,ICD1_y\nPOT Giunto,POT1_s\nEST Trave,EST1_e\nTermometro,TMP1_t\n"
@@ -401,6 +402,41 @@ def test_day_files_of_different_types(spark, tmp_path):
     assert {(r["sensor_id"], r["value"]) for r in out} == {("A_s", 1.0), ("A_s", 1.5), ("A_s", 2.0), ("B_s", 2.5), ("C_s", 7.0)}
 
 
+def test_sites_with_own_sensors_share_no_plan(spark, tmp_path):
+    for k in range(12):
+        values = {f"S{k}N{j}_s": [k + j / 10] for j in range(8)}
+        save(tmp_path, f"S{k:02d}_2025-12-01_dsp.parquet", [frames.stamp(0)], **values)
+    save(tmp_path, "S00_2025-12-02_dsp.parquet", [frames.stamp(1)], S0N9_s=[5], S0N1_s=[7])
+    sources = {f"S{k:02d}": {"spost_path": str(tmp_path)} for k in range(12)}
+    out = families.read_readings(spark, sources, ["2025-12"])
+    got = {(r["site"], r["sensor_id"], r["value"]): r["sensor_order"] % 1000 for r in out.collect()}
+    expected = {(f"S{k:02d}", f"S{k}N{j}_s", k + j / 10): j for k in range(12) for j in range(8)}
+    assert got == expected | {("S00", "S0N9_s", 5.0): 8, ("S00", "S0N1_s", 7.0): 1}
+    # No scan has the columns of two sites.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    scans = re.findall(r"Relation \[(.*)\]", plan)
+    assert len(scans) == 13 and all(len(set(re.findall(r"S(\d+)N", s))) == 1 for s in scans)
+    merged = families.read_readings(spark, sources, ["2025-12"], own_columns=False)
+    assert {(r["site"], r["sensor_id"], r["value"]) for r in merged.collect()} == set(got)
+
+
+def test_layouts(spark, tmp_path):
+    save(tmp_path, "A_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[1.0], y_s=["2"])
+    save(tmp_path, "A_2025-12-02_dsp.parquet", [frames.stamp(1)], z_s=[1.0], x_s=[2.0])
+    save(tmp_path, "B_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[1.0], y_s=["2"], z_s=[3.0])
+    save(tmp_path, "C_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[1], y_s=["2"], z_s=[3.0])
+    found = footers.layouts(spark, [f"{tmp_path}/*_dsp.parquet"])
+    assert [tuple(f.rsplit("/", 1)[1][:1] for f in x.files) for x in found] == [("A", "A", "B"), ("C",)]
+    assert {x.columns[1:] for x in found} == {("x_s", "y_s", "z_s")} and found[1].types[1:] == ("bigint", "string", "double")
+    assert not footers.can_open(["abfss://c@a/x"]) and footers.can_open(["s3a://b/x", "/tmp/x"])
+
+
+def test_lists_are_no_sensor_values(spark, tmp_path):
+    save(tmp_path, "A_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[[1.0]])
+    with pytest.raises(Exception, match="plain columns"):
+        families.read_readings(spark, {"A": {"spost_path": str(tmp_path)}}, ["2025-12"])
+
+
 def _run(spark, folder, sources, out, periods=("2025-12",), **more):
     site_labels = labels.read_labels(spark, str(folder), ["P001"])
     every = spark.createDataFrame([(s,) for s in sources], "s string").join(site_labels).select(F.col("s").alias("site"), "base_id", "label")
