@@ -58,3 +58,20 @@ def sensor_number(raw: Column, is_text: bool) -> Column:
     if is_text:
         raw = F.nullif(stripped(raw), F.lit(""))
     return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
+
+
+def sensor_number_sql(name: str, is_text: bool) -> str:
+    """``sensor_number`` of a column as SQL: for many columns a plan is built many times faster from it."""
+    raw = quoted(name)
+    if is_text:
+        raw = f"nullif(btrim({raw}, '{_BLANKS}'), '')"
+    return f"nanvl(CAST({raw} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def quoted(name: str) -> str:
+    """A column's name in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

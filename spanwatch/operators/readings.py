@@ -29,7 +29,7 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     first = F.min(F.struct(*order_by, *rest)).alias("_first")
     picked = df.groupBy(*keys).agg(first)
-    return picked.select(*[c if c in keys else F.col(f"_first.{c}") for c in df.columns])
+    return picked.select(*[c if c in keys else f"_first.{c}" for c in df.columns])
 
 
 def to_readings(

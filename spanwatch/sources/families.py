@@ -7,12 +7,12 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanwatch import schema as S
-from spanwatch.functions.text import sensor_number
+from spanwatch.functions.text import quoted, sensor_number_sql, text_literal
 from spanwatch.operators.chunks import bucket_start
 from spanwatch.operators.readings import keep_first
 from spanwatch.sources import footers, manifest, paths
@@ -51,20 +51,23 @@ def _by_schema(spark: SparkSession, globs: Sequence[str]) -> list[list[str]]:
 
 
 def _with_origin(files: DataFrame, numbers: bool = False) -> DataFrame:
-    def value(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
-        if not numbers or field.name in _TIME_COLUMNS:
-            return column.cast("timestamp_ntz") if numbers else column
-        return sensor_number(column, isinstance(field.dataType, T.StringType)).alias(field.name)
+    def value(field: T.StructField) -> str:
+        if field.name in _TIME_COLUMNS:
+            return f"CAST({field.name} AS TIMESTAMP_NTZ) AS {field.name}"
+        number = sensor_number_sql(field.name, isinstance(field.dataType, T.StringType))
+        return f"{number} AS {quoted(field.name)}"
 
     path = F.col("_metadata.file_path")
-    return files.select(
+    origin = files.select(
         paths.file_site(path).alias("site"),
         paths.file_period(path).alias("period"),
         path.alias("src_file"),
         F.col("_metadata.row_index").alias("src_row"),
-        *[value(f).alias(f.name) for f in files.schema.fields],
+        "*",
     )
+    if not numbers:
+        return origin
+    return origin.selectExpr(*S.SITE_KEYS, "src_file", "src_row", *[value(f) for f in files.schema.fields])
 
 
 def scan_layouts(spark: SparkSession, globs: Sequence[str], width: str = S.BUCKET) -> list[DataFrame]:
@@ -85,11 +88,11 @@ def scan_layouts(spark: SparkSession, globs: Sequence[str], width: str = S.BUCKE
     return parts
 
 
-def _time(df: DataFrame) -> Column:
-    found = [F.col(c).cast("timestamp_ntz") for c in _TIME_COLUMNS if c in df.columns]
+def _time(df: DataFrame) -> str:
+    found = [f"CAST({c} AS TIMESTAMP_NTZ)" for c in _TIME_COLUMNS if c in df.columns]
     if not found:
         raise ValueError(f"no time column among {df.columns}")
-    return F.coalesce(*found)
+    return f"coalesce({', '.join(found)})"
 
 
 def wide_readings(wide: DataFrame, family: str, width: str = S.BUCKET) -> DataFrame:
@@ -105,31 +108,23 @@ def wide_readings(wide: DataFrame, family: str, width: str = S.BUCKET) -> DataFr
     fixed = {*S.SITE_KEYS, *origin, *_TIME_COLUMNS}
     sensors = [f for f in wide.schema.fields if f.name not in fixed]
     values = [
-        sensor_number(F.col(f"`{f.name}`"), isinstance(f.dataType, T.StringType)).alias(f"v{i}")
-        for i, f in enumerate(sensors)
+        f"{sensor_number_sql(f.name, isinstance(f.dataType, T.StringType))} AS v{i}" for i, f in enumerate(sensors)
     ]
-    numbers = wide.select(*S.SITE_KEYS, *origin, _time(wide).alias("ts"), *values)
+    numbers = wide.selectExpr(*S.SITE_KEYS, *origin, f"{_time(wide)} AS ts", *values)
     keys = [*S.SITE_KEYS, "ts"]
     if family == S.BUCKETED_FAMILY:
-        means = [F.avg(f"v{i}").alias(f"v{i}") for i in range(len(sensors))]
+        means = [F.expr(f"avg(v{i}) AS v{i}") for i in range(len(sensors))]
         unique = numbers.withColumn("ts", bucket_start("ts", width)).groupBy(*keys).agg(*means)
     else:
         unique = keep_first(numbers.where("ts IS NOT NULL"), keys, origin)
     first_order = S.FAMILIES.index(family) * _FAMILY_STRIDE
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(first_order + i).alias("sensor_order"),
-                F.lit(f.name).alias("sensor_id"),
-                F.col(f"v{i}").alias("value"),
-            )
-            for i, f in enumerate(sensors)
-        ]
+    entries = ", ".join(
+        f"struct({first_order + i} AS sensor_order, {text_literal(f.name)} AS sensor_id, v{i} AS value)"
+        for i, f in enumerate(sensors)
     )
-    present = F.filter(entries, lambda e: e["value"].isNotNull())
-    return unique.select(
-        *S.SITE_KEYS, F.lit(family).alias("family"), "ts", F.inline_outer(present)
-    ).select(*S.READING_COLUMNS)
+    none = "CAST(array() AS ARRAY<STRUCT<sensor_order: INT, sensor_id: STRING, value: DOUBLE>>)"
+    present = F.expr(f"inline_outer(filter({f'array({entries})' if sensors else none}, e -> e.value IS NOT NULL))")
+    return unique.select(*S.SITE_KEYS, F.lit(family).alias("family"), "ts", present).select(*S.READING_COLUMNS)
 
 
 def read_readings(

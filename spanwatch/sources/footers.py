@@ -9,8 +9,8 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from spanwatch.functions.text import quoted
 from spanwatch.sources import paths
 from spanwatch.sources.stages import settle
 
@@ -49,9 +49,8 @@ class Layout:
     files: tuple[str, ...]
 
     @property
-    def schema(self) -> T.StructType:
-        fields = [T.StructField(n, T._parse_datatype_string(t)) for n, t in zip(self.columns, self.types)]
-        return T.StructType(fields)
+    def schema(self) -> str:
+        return ", ".join(f"{quoted(n)} {t}" for n, t in zip(self.columns, self.types))
 
 
 def can_open(globs: Iterable[str]) -> bool:
