@@ -202,7 +202,8 @@ OWN_SITES, OWN_SENSORS = 40, 30
 def _own_files(spark, sf_dir):
     """Files of forty sites with thirty displacement sensors each that no other site has; sources and periods.
 
-    One file for each site and month; sites by fours write their even sensors as whole numbers.
+    One file for each site and month, in parts where it is large; sites by fours write their even sensors
+    as whole numbers.
     """
     folder = f"{stages.stage_folder(spark)}/spanwatch/own-{uuid.uuid4().hex}"
     number = F.expr(f"(event_id div {OWN_SITES}) % {OWN_SENSORS}")
@@ -217,7 +218,7 @@ def _own_files(spark, sf_dir):
             for j in range(OWN_SENSORS)
         ]
         wide = samples.where(F.col("k") == k).groupBy("period", F.col("ts").alias("datetime")).agg(*columns)
-        wide.repartition("period").write.partitionBy("period").parquet(f"{folder}/staged/{k}")
+        wide.hint("rebalance", "period").write.partitionBy("period").parquet(f"{folder}/staged/{k}")
         for found in paths.matching(spark, [f"{folder}/staged/{k}/period=*"]):
             named = jvm.org.apache.hadoop.fs.Path(f"{folder}/dsp/S{k:02d}_{found[-7:]}_dsp.parquet")
             system = named.getFileSystem(conf)

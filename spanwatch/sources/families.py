@@ -70,22 +70,15 @@ def _with_origin(files: DataFrame, numbers: bool = False) -> DataFrame:
     return origin.selectExpr(*S.SITE_KEYS, "src_file", "src_row", *[value(f) for f in files.schema.fields])
 
 
-def scan_layouts(spark: SparkSession, globs: Sequence[str], width: str = S.BUCKET) -> list[DataFrame]:
-    """Readings of the files, one frame for each family and set of columns that a site and month has.
+def scan_layouts(spark: SparkSession, globs: Sequence[str]) -> list[tuple[str, DataFrame]]:
+    """Family and wide rows of the files, one frame for each family, set of columns and their types.
 
-    Rows become one per sensor before the frames are united, so no plan has the columns of all sites.
+    All files of a site and month have the same columns, so no scan has those of all sites.
     """
-    together: dict[tuple[str, tuple[str, ...]], list[footers.Layout]] = {}
-    for layout in footers.layouts(spark, globs):
-        together.setdefault((layout.family, layout.columns), []).append(layout)
-    parts = []
-    for (family, _), group in together.items():
-        scans = [
-            _with_origin(spark.read.schema(layout.schema).parquet(*layout.files), numbers=len(group) > 1)
-            for layout in group
-        ]
-        parts.append(wide_readings(reduce(DataFrame.unionByName, scans), family, width))
-    return parts
+    return [
+        (layout.family, _with_origin(spark.read.schema(layout.schema).parquet(*layout.files)))
+        for layout in footers.layouts(spark, globs)
+    ]
 
 
 def _time(df: DataFrame) -> str:
@@ -95,6 +88,10 @@ def _time(df: DataFrame) -> str:
     return f"coalesce({', '.join(found)})"
 
 
+def _origin(wide: DataFrame) -> list[str]:
+    return [c for c in ("src_file", "src_row") if c in wide.columns]
+
+
 def wide_readings(wide: DataFrame, family: str, width: str = S.BUCKET) -> DataFrame:
     """Readings from a wide frame of one family.
 
@@ -104,27 +101,65 @@ def wide_readings(wide: DataFrame, family: str, width: str = S.BUCKET) -> DataFr
     are taken apart. A row without any value gives one reading without a sensor, so that
     its timestamp still counts as sampled.
     """
-    origin = [c for c in ("src_file", "src_row") if c in wide.columns]
-    fixed = {*S.SITE_KEYS, *origin, *_TIME_COLUMNS}
-    sensors = [f for f in wide.schema.fields if f.name not in fixed]
-    values = [
-        f"{sensor_number_sql(f.name, isinstance(f.dataType, T.StringType))} AS v{i}" for i, f in enumerate(sensors)
-    ]
-    numbers = wide.selectExpr(*S.SITE_KEYS, *origin, f"{_time(wide)} AS ts", *values)
-    keys = [*S.SITE_KEYS, "ts"]
-    if family == S.BUCKETED_FAMILY:
-        means = [F.expr(f"avg(v{i}) AS v{i}") for i in range(len(sensors))]
-        unique = numbers.withColumn("ts", bucket_start("ts", width)).groupBy(*keys).agg(*means)
-    else:
-        unique = keep_first(numbers.where("ts IS NOT NULL"), keys, origin)
-    first_order = S.FAMILIES.index(family) * _FAMILY_STRIDE
-    entries = ", ".join(
-        f"struct({first_order + i} AS sensor_order, {text_literal(f.name)} AS sensor_id, v{i} AS value)"
-        for i, f in enumerate(sensors)
+    return all_readings([(family, wide)], width)
+
+
+def all_readings(frames: Sequence[tuple[str, DataFrame]], width: str = S.BUCKET) -> DataFrame:
+    """``wide_readings`` of many frames, each with its family.
+
+    Sensors become columns by their place, so that frames with other sensors are united first and reduced
+    together: one shuffle for all, not one for each, which Spark would read side by side in the same tasks.
+    Frames of very different width are apart, as the narrow ones are filled up with NULLs; all frames
+    of a family, site and month have the same sensors, or are the only one.
+    """
+    kinds: dict[tuple[str, ...], int] = {}
+    together: dict[tuple[bool, int], list[tuple[int, DataFrame, list[T.StructField]]]] = {}
+    for family, wide in frames:
+        fixed = {*S.SITE_KEYS, *_origin(wide), *_TIME_COLUMNS}
+        sensors = [f for f in wide.schema.fields if f.name not in fixed]
+        kind = kinds.setdefault((family, *[f.name for f in sensors]), len(kinds))
+        place = family == S.BUCKETED_FAMILY, len(sensors).bit_length()
+        together.setdefault(place, []).append((kind, wide, sensors))
+    parts = []
+    for (bucketed, _), alike in together.items():
+        n = max(1, *[len(sensors) for _, _, sensors in alike])
+        numbers = reduce(DataFrame.unionByName, [_by_place(*one, n) for one in alike])
+        parts.append(_taken_apart(_reduced(numbers, bucketed, width, n), n))
+    # What a kind of frame stands for, looked up by its number.
+    families = ", ".join(text_literal(family) for family, *_ in kinds)
+    firsts = ", ".join(str(S.FAMILIES.index(family) * _FAMILY_STRIDE) for family, *_ in kinds)
+    names = ", ".join(f"CAST(array({', '.join(map(text_literal, own))}) AS ARRAY<STRING>)" for _, *own in kinds)
+    named = reduce(DataFrame.unionByName, parts).selectExpr(
+        "*",
+        f"get(array({families}), kind) AS family",
+        f"get(array({firsts}), kind) + place AS sensor_order",
+        f"get(get(array({names}), kind), place) AS sensor_id",
     )
-    none = "CAST(array() AS ARRAY<STRUCT<sensor_order: INT, sensor_id: STRING, value: DOUBLE>>)"
-    present = F.expr(f"inline_outer(filter({f'array({entries})' if sensors else none}, e -> e.value IS NOT NULL))")
-    return unique.select(*S.SITE_KEYS, F.lit(family).alias("family"), "ts", present).select(*S.READING_COLUMNS)
+    return named.select(*S.READING_COLUMNS)
+
+
+def _by_place(kind: int, wide: DataFrame, sensors: Sequence[T.StructField], n: int) -> DataFrame:
+    """Values as ``v0`` to ``v(n-1)``, NULL where there are fewer sensors."""
+    values = [sensor_number_sql(f.name, isinstance(f.dataType, T.StringType)) for f in sensors]
+    values += ["CAST(NULL AS DOUBLE)"] * (n - len(values))
+    columns = [f"{value} AS v{i}" for i, value in enumerate(values)]
+    return wide.selectExpr(*S.SITE_KEYS, f"{kind} AS kind", *_origin(wide), f"{_time(wide)} AS ts", *columns)
+
+
+def _reduced(numbers: DataFrame, bucketed: bool, width: str, n: int) -> DataFrame:
+    """One row for each timestamp or bucket."""
+    keys = [*S.SITE_KEYS, "kind", "ts"]
+    if bucketed:
+        means = [F.expr(f"avg(v{i}) AS v{i}") for i in range(n)]
+        return numbers.withColumn("ts", bucket_start("ts", width)).groupBy(*keys).agg(*means)
+    return keep_first(numbers.where("ts IS NOT NULL"), keys, _origin(numbers))
+
+
+def _taken_apart(unique: DataFrame, n: int) -> DataFrame:
+    """``site, period, kind, ts, place, value``: a row for each value, one without a place where there is none."""
+    entries = ", ".join(f"struct({i} AS place, v{i} AS value)" for i in range(n))
+    present = F.expr(f"inline_outer(filter(array({entries}), e -> e.value IS NOT NULL))")
+    return unique.select(*S.SITE_KEYS, "kind", "ts", present)
 
 
 def read_readings(
@@ -136,7 +171,7 @@ def read_readings(
     skip: Collection[tuple[str, str]] = (),
     own_columns: bool | None = None,
 ) -> DataFrame:
-    """Readings of many sites and periods: one scan per family and set of columns.
+    """Readings of many sites and periods: one scan per family and set of columns, reduced together.
 
     Footers are read in tasks and sites with the same columns are scanned together, so that thousands
     of sites with sensors of their own plan as well as one (``footers.layouts``). A sensor's order is
@@ -163,13 +198,10 @@ def read_readings(
     if own_columns is None:
         own_columns = footers.can_open(unknown)
     merged = [family for family in globs if not own_columns or family in (schemas or {})]
-    parts = [
-        wide_readings(scan_family(spark, globs[family], (schemas or {}).get(family)), family, width)
-        for family in merged
-    ]
+    frames = [(family, scan_family(spark, globs[family], (schemas or {}).get(family))) for family in merged]
     if own_columns and unknown:
-        parts += scan_layouts(spark, unknown, width)
-    return reduce(DataFrame.unionByName, parts)
+        frames += scan_layouts(spark, unknown)
+    return all_readings(frames, width)
 
 
 def without_files(

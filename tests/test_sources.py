@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanwatch.checks import queries
 from spanwatch.operators import align, dimensions, quarantine, steps
 from spanwatch.plans import prepare as prep
 from spanwatch.plans import report as rep
@@ -420,6 +421,72 @@ def test_sites_with_own_sensors_share_no_plan(spark, tmp_path):
     assert {(r["site"], r["sensor_id"], r["value"]) for r in merged.collect()} == set(got)
 
 
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_sites_with_own_sensors_share_one_shuffle(spark, tmp_path):
+    for k in range(12):
+        values = {f"S{k}N{j}_s": [k + j / 10, None] for j in range(4 + k % 4)}
+        save(tmp_path, f"S{k:02d}_2025-12-01_dsp.parquet", [frames.stamp(0), frames.stamp(1)], **values)
+        turns = {f"S{k}N{j}_x": pa.array([k, j, None], pa.float64()) for j in range(2 + k % 2)}
+        save(tmp_path, f"S{k:02d}_2025-12-01_rot.parquet", [frames.stamp(i, 5) for i in (0, 1, 3)], **turns)
+    # The same timestamp twice: the row of the first file is kept whole.
+    save(tmp_path, "S00_2025-12-02_dsp.parquet", [frames.stamp(0)], S0N3_s=[9.0], S0N9_s=[9.0])
+    sources = {f"S{k:02d}": {"spost_path": str(tmp_path), "incl_path": str(tmp_path)} for k in range(12)}
+    out = families.read_readings(spark, sources, ["2025-12"])
+    assert _exchanges(out) == 2  # one for the rows that are kept, one for the means
+    got = [tuple(r) for r in out.select("site", "family", "sensor_order", "sensor_id", "ts", "value").collect()]
+    dsp = [
+        (f"S{k:02d}", "dsp", 100_000 + j, f"S{k}N{j}_s", frames.stamp(0), k + j / 10)
+        for k in range(12)
+        for j in range(4 + k % 4)
+    ]
+    rot = [
+        (f"S{k:02d}", "rot", j, f"S{k}N{j}_x", frames.stamp(0), (k + j) / 2)
+        for k in range(12)
+        for j in range(2 + k % 2)
+    ]
+    empty = [(f"S{k:02d}", f, None, None, frames.stamp(1), None) for k in range(12) for f in ("dsp", "rot")]
+    assert sorted(got, key=str) == sorted(dsp + rot + empty, key=str)
+
+
+def test_narrow_files_are_not_filled_up_to_wide_ones(spark, tmp_path):
+    save(tmp_path, "A_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[1.0])
+    save(tmp_path, "B_2025-12-01_dsp.parquet", [frames.stamp(0)], **{f"y{j}_s": [float(j)] for j in range(70)})
+    save(tmp_path, "C_2025-12-01_dsp.parquet", [frames.stamp(0)])
+    sources = {site: {"spost_path": str(tmp_path)} for site in "ABC"}
+    out = families.read_readings(spark, sources, ["2025-12"])
+    assert _exchanges(out) == 3
+    expected = {("A", "x_s", 1.0), ("C", None, None), *[("B", f"y{j}_s", float(j)) for j in range(70)]}
+    assert {(r["site"], r["sensor_id"], r["value"]) for r in out.collect()} == expected
+
+
+def test_large_month_of_own_sensors_is_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "OWN_SITES", 2)
+    monkeypatch.setattr(queries, "OWN_SENSORS", 3)
+    adaptive = "spark.sql.adaptive."
+    small = {f"{adaptive}advisoryPartitionSizeInBytes": "4KB", f"{adaptive}coalescePartitions.minPartitionSize": "1KB"}
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    events = [(i, frames.START + pd.Timedelta(seconds=i), i % 7, "view", i / 4) for i in range(6000)]
+    pd.DataFrame(events, columns=columns).astype({"ts": "datetime64[us]"}).to_parquet(tmp_path / "events.parquet")
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        sources, periods, absent = queries._own_files(spark, str(tmp_path))
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert sorted(sources) == ["S00", "S01"] and periods == ["2025-12"] and not absent
+    folder = sources["S00"]["spost_path"]
+    assert all(len(paths.matching(spark, [f"{folder}/{s}_2025-12_dsp.parquet/part-*"])) > 1 for s in sources)
+    out = families.read_readings(spark, sources, periods).where("sensor_id IS NOT NULL")
+    got = {(r["sensor_id"], r["ts"], r["value"]) for r in out.collect()}
+    whole = lambda i, k, j: float(int(i / 4)) if k == 0 and j % 2 == 0 else i / 4
+    places = [(i, i % 2, i // 2 % 3) for i in range(6000)]
+    assert got == {(f"S{k:02d}N{j:02d}_s", events[i][1], whole(i, k, j)) for i, k, j in places}
+
+
 def test_layouts(spark, tmp_path):
     save(tmp_path, "A_2025-12-01_dsp.parquet", [frames.stamp(0)], x_s=[1.0], y_s=["2"])
     save(tmp_path, "A_2025-12-02_dsp.parquet", [frames.stamp(1)], z_s=[1.0], x_s=[2.0])
